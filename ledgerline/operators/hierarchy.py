@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline import layouts
 from ledgerline.functions.text import cut_from
-from ledgerline.operators.joins import BROADCAST_BYTES, lookup
+from ledgerline.operators.joins import lookup
 from ledgerline.operators.lineage import cut
 
 
@@ -86,7 +86,6 @@ def nearest_ancestor(
     marked: Callable[[Column], Column] = is_line,
     max_climb: int = layouts.MAX_CLIMB,
     fallback: str = layouts.NO_LINE,
-    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Nearest marked node at or above each node, as ``(child, line, label, copies)``.
 
@@ -120,7 +119,7 @@ def nearest_ancestor(
     result, taken, size_of_power = None, 0, 1
     while True:
         if wanted & size_of_power:
-            result = power if result is None else _then(result, power, fallback, limit)
+            result = power if result is None else _then(result, power, fallback)
             taken += size_of_power
         pending = power.where(~F.col("done"))
         if taken == wanted:
@@ -128,7 +127,7 @@ def nearest_ancestor(
         if pending.isEmpty():
             result = power
             break
-        power = cut(_then(power, power, fallback, limit))
+        power = cut(_then(power, power, fallback))
         size_of_power *= 2
     return (
         result.select(
@@ -143,7 +142,7 @@ def nearest_ancestor(
     )
 
 
-def _then(first: DataFrame, second: DataFrame, fallback: str, limit: int) -> DataFrame:
+def _then(first: DataFrame, second: DataFrame, fallback: str) -> DataFrame:
     """Where ``first`` and then ``second`` lead; a key ``second`` lacks has no parent."""
     pending = first.where(~F.col("done")).select("key", "next", F.col("copies").alias("times"))
     reached = second.select(
@@ -154,7 +153,7 @@ def _then(first: DataFrame, second: DataFrame, fallback: str, limit: int) -> Dat
         "label",
         "copies",
     )
-    joined = lookup(pending, reached, {"next": "at"}, limit=limit)
+    joined = lookup(pending, reached, {"next": "at"}, size=None)
     missing = F.col("done2").isNull()
     moved = joined.select(
         "key",

@@ -32,6 +32,9 @@ def check_unique(df: DataFrame, keys: list[str]) -> None:
         raise ValueError(f"lookup table repeats keys {keys}")
 
 
+MEASURE = "measure"
+
+
 def lookup(
     left: DataFrame,
     right: DataFrame,
@@ -41,7 +44,7 @@ def lookup(
     right_filter: Column | None = None,
     unique: bool = False,
     null_safe: bool = False,
-    size: int | None = None,
+    size: int | str | None = MEASURE,
     limit: int = BROADCAST_BYTES,
     hot: HotKeys | None = None,
 ) -> DataFrame:
@@ -52,14 +55,20 @@ def lookup(
     alone, so rows it leaves unmatched stay in a left join. Repeated right keys
     repeat rows, unless ``unique`` asks to refuse them.
 
-    The right side is broadcast when its size (``size``, measured if not given)
-    is within ``limit``; otherwise it is shuffled, with hot left keys salted.
+    The right side is broadcast when its ``size`` in bytes (measured unless
+    given) is within ``limit``; otherwise it is shuffled, with hot left keys
+    salted. That suits a ``left`` too large to shuffle lightly. With
+    ``size=None`` nothing is run ahead: both sides may be shuffled, and adaptive
+    execution chooses from the sizes it then sees (broadcast, or a sort-merge
+    join with skewed partitions split). That suits joins of lookup tables.
     """
     if right_filter is not None:
         right = right.where(right_filter)
     if unique:
         check_unique(right, list(on.values()))
     if size is None:
+        return salted_join(left, right, on, how, HotKeys(), null_safe)
+    if size == MEASURE:
         size = measured_bytes({"right": right})["right"]
     if size <= limit:
         return salted_join(left, F.broadcast(right), on, how, HotKeys(), null_safe)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import layouts
 from ledgerline.functions.text import org_code
 from ledgerline.operators import hierarchy
-from ledgerline.operators.joins import BROADCAST_BYTES, lookup
+from ledgerline.operators.joins import lookup
 from ledgerline.operators.override import rule_hits
 from ledgerline.operators.relabel import relabel
 from ledgerline.sources import fixedwidth
@@ -68,9 +68,9 @@ def product_edges(lines: DataFrame) -> DataFrame:
     return lines.select(*columns).distinct()
 
 
-def product_lines(lines: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def product_lines(lines: DataFrame) -> DataFrame:
     """Product code, its line, the line's label, and how often that result occurs."""
-    resolved = hierarchy.nearest_ancestor(product_edges(lines), limit=limit)
+    resolved = hierarchy.nearest_ancestor(product_edges(lines))
     return resolved.select(
         F.col("child").alias("codigo_prod"),
         F.col("line").alias("Codigo_Linha_BP"),
@@ -100,7 +100,7 @@ def organisation(records: DataFrame, keys: tuple[str, str], superior: tuple[str,
     )
 
 
-def portfolios(pv: DataFrame, managers: DataFrame, org: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+def portfolios(pv: DataFrame, managers: DataFrame, org: DataFrame) -> DataFrame:
     """All that a portfolio code looks up, in one table keyed ``portfolio``.
 
     Left joining this table gives the same rows as left joining the PV view,
@@ -112,13 +112,13 @@ def portfolios(pv: DataFrame, managers: DataFrame, org: DataFrame, limit: int =
         F.coalesce("codigo_cart_pv", "codigo_cart").alias("portfolio"), "Cod_Carteira_PV", "Ger_Matr"
     )
     placed = lookup(
-        split_org_code(both), org, {"unit_type": "org_type", "unit_code": "org_code"}, limit=limit
+        split_org_code(both), org, {"unit_type": "org_type", "unit_code": "org_code"}, size=None
     )
     return placed.drop("unit_type", "unit_code")
 
 
 def assigned_lines(
-    pairs: DataFrame, lines: DataFrame, rules: DataFrame, dedupe: bool = False, limit: int = BROADCAST_BYTES
+    pairs: DataFrame, lines: DataFrame, rules: DataFrame, dedupe: bool = False
 ) -> DataFrame:
     """Line and label of every distinct (product, account), after exception rules.
 
@@ -127,7 +127,7 @@ def assigned_lines(
     how many equal rows the row-by-row joins would give.
     """
     placed = lookup(
-        pairs, lines.withColumnRenamed("copies", "paths"), {"cod_producto_gest": "codigo_prod"}, limit=limit
+        pairs, lines.withColumnRenamed("copies", "paths"), {"cod_producto_gest": "codigo_prod"}, size=None
     )
     keys = {
         "Codigo_Linha_BP": "Linha_BP_ORIGEM",
@@ -136,9 +136,9 @@ def assigned_lines(
     }
     # Pairs without a line are never overridden, whatever else matches.
     combos = placed.where(F.col("Codigo_Linha_BP").isNotNull()).select(*keys).distinct()
-    hits = rule_hits(combos, rules, keys, ["Linha_BP_PARA"], limit)
+    hits = rule_hits(combos, rules, keys, ["Linha_BP_PARA"])
     hits = hits.withColumnsRenamed({k: f"__on_{k}" for k in keys})
-    ruled = lookup(placed, hits, {k: f"__on_{k}" for k in keys}, null_safe=True, limit=limit)
+    ruled = lookup(placed, hits, {k: f"__on_{k}" for k in keys}, null_safe=True, size=None)
     ruled = ruled.withColumn("copies", F.coalesce("paths", F.lit(1)) * F.coalesce("hits", F.lit(1)))
     ruled = relabel(
         ruled.drop("paths", "hits"),
@@ -150,7 +150,7 @@ def assigned_lines(
         dedupe=dedupe,
         copies="copies",
         line_copies="copies",
-        limit=limit,
+        size=None,
     )
     kept = F.col("Linha_BP_PARA").isNull()
     return (
