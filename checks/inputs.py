@@ -77,10 +77,12 @@ _AMOUNT_SQL = {
 
 
 def _facts() -> str:
-    amounts = dict(_AMOUNT_SQL)
+    amounts = {}
     for name, expr in _AMOUNT_SQL.items():
+        text = name == "imp_ing_cap_ml"
+        amounts[name] = expr if text else f"cast({expr} as decimal(18,6))"
         if "ajtti" in name or "efec" in name:
-            amounts[name + "_acum"] = f"({expr}) * 2"
+            amounts[name + "_acum"] = f"cast(({expr}) * 2 as decimal(18,6))"
     attributes = {
         "idf_cto_ods": _code("K", "l_orderkey", 9),
         "fec_data": f"'{DATE} '",
