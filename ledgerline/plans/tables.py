@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline import layouts
 from ledgerline.functions.text import org_code
 from ledgerline.operators import hierarchy
-from ledgerline.operators.joins import lookup
+from ledgerline.operators.joins import BROADCAST_BYTES, lookup
 from ledgerline.operators.override import rule_hits
 from ledgerline.operators.relabel import relabel
 from ledgerline.sources import fixedwidth
@@ -117,50 +117,64 @@ def portfolios(pv: DataFrame, managers: DataFrame, org: DataFrame) -> DataFrame:
     return placed.drop("unit_type", "unit_code")
 
 
-def assigned_lines(
-    pairs: DataFrame, lines: DataFrame, rules: DataFrame, dedupe: bool = False
+def line_overrides(
+    pairs: DataFrame,
+    lines: DataFrame,
+    rules: DataFrame,
+    dedupe: bool = False,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Line and label of every distinct (product, account), after exception rules.
+    """New line and label for each (line, product, account) that exception rules change.
 
-    The line of a balance depends on its product and account alone, so tree
-    lookup, exception rules and relabelling run on distinct pairs. ``copies`` is
-    how many equal rows the row-by-row joins would give.
+    Whether a balance is changed depends on its product and account alone, so
+    rules and relabelling run on distinct pairs, and pairs no rule matches leave
+    at once. ``times`` is how many equal rows the row-by-row joins would give.
+    Products without a line are never overridden, whatever else matches.
     """
-    placed = lookup(
-        pairs, lines.withColumnRenamed("copies", "paths"), {"cod_producto_gest": "codigo_prod"}, size=None
-    )
     keys = {
         "Codigo_Linha_BP": "Linha_BP_ORIGEM",
         "cod_producto_gest": "Produto_Gestao_ORIGEM",
         "cod_cta_cont_gestion": "CONTA_DE_GESTAO",
     }
-    # Pairs without a line are never overridden, whatever else matches.
-    combos = placed.where(F.col("Codigo_Linha_BP").isNotNull()).select(*keys).distinct()
-    hits = rule_hits(combos, rules, keys, ["Linha_BP_PARA"])
-    hits = hits.withColumnsRenamed({k: f"__on_{k}" for k in keys})
-    ruled = lookup(placed, hits, {k: f"__on_{k}" for k in keys}, null_safe=True, size=None)
-    ruled = ruled.withColumn("copies", F.coalesce("paths", F.lit(1)) * F.coalesce("hits", F.lit(1)))
-    ruled = relabel(
-        ruled.drop("paths", "hits"),
-        lines,
+    named = lines.select("codigo_prod", "Codigo_Linha_BP").distinct()
+    combos = lookup(pairs, named, {"cod_producto_gest": "codigo_prod"}, how="inner", size=None)
+    hits = rule_hits(combos, rules, keys, ["Linha_BP_PARA"], limit)
+    relabelled = relabel(
+        hits.withColumnRenamed("hits", "times"),
+        lines.withColumnRenamed("Codigo_Linha_BP", "target_line"),
         target="Linha_BP_PARA",
-        code="Codigo_Linha_BP",
+        code="target_line",
         label="Linha_BP",
         into="new_label",
         dedupe=dedupe,
-        copies="copies",
+        copies="times",
         line_copies="copies",
         size=None,
     )
-    kept = F.col("Linha_BP_PARA").isNull()
-    return (
-        ruled.select(
-            "cod_producto_gest",
-            "cod_cta_cont_gestion",
-            F.when(kept, F.col("Codigo_Linha_BP")).otherwise(F.col("Linha_BP_PARA")).alias("Codigo_Linha_BP"),
-            F.when(kept, F.col("Linha_BP")).otherwise(F.col("new_label")).alias("Linha_BP"),
-            "copies",
-        )
-        .groupBy("cod_producto_gest", "cod_cta_cont_gestion", "Codigo_Linha_BP", "Linha_BP")
-        .agg(F.sum("copies").alias("copies"))
+    return relabelled.select(
+        F.col("Codigo_Linha_BP").alias("old_line"),
+        F.col("cod_producto_gest").alias("old_product"),
+        F.col("cod_cta_cont_gestion").alias("old_account"),
+        F.col("Linha_BP_PARA").alias("new_line"),
+        "new_label",
+        "times",
     )
+
+
+OVERRIDE_KEYS = {
+    "Codigo_Linha_BP": "old_line",
+    "cod_producto_gest": "old_product",
+    "cod_cta_cont_gestion": "old_account",
+}
+
+
+def with_new_lines(df: DataFrame) -> DataFrame:
+    """Put new line and label in place where a rule names one; count the copies."""
+    kept = F.col("new_line").isNull()
+    return df.withColumns(
+        {
+            "Codigo_Linha_BP": F.when(kept, F.col("Codigo_Linha_BP")).otherwise(F.col("new_line")),
+            "Linha_BP": F.when(kept, F.col("Linha_BP")).otherwise(F.col("new_label")),
+            "copies": F.coalesce("copies", F.lit(1)) * F.coalesce("times", F.lit(1)),
+        }
+    ).drop("new_line", "new_label", "times")
