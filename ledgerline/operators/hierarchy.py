@@ -121,10 +121,9 @@ def nearest_ancestor(
         if wanted & size_of_power:
             result = power if result is None else _then(result, power, fallback)
             taken += size_of_power
-        pending = power.where(~F.col("done"))
         if taken == wanted:
             break
-        if pending.isEmpty():
+        if size_of_power > 1 and power.where(~F.col("done")).isEmpty():
             result = power
             break
         power = cut(_then(power, power, fallback))

@@ -14,11 +14,11 @@ _ROW_OVERHEAD = 32
 def measured_bytes(tables: dict[str, DataFrame]) -> dict[str, int]:
     """Bytes each table would hold in memory, counted from its rows in one action."""
 
-    def size(name: str, df: DataFrame):
-        width = F.lit(_ROW_OVERHEAD)
-        for c in df.columns:
-            width = width + F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16
-        return df.agg(F.lit(name).alias("name"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes"))
+    def size(name: str, df: DataFrame) -> DataFrame:
+        widths = [f"coalesce(octet_length(cast(`{c}` as string)), 0) + 16" for c in df.columns]
+        total = " + ".join([str(_ROW_OVERHEAD), *widths])
+        rows = df.selectExpr(f"cast({total} as bigint) as bytes")
+        return rows.agg(F.lit(name).alias("name"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"))
 
     parts = [size(name, df) for name, df in tables.items()]
     union = parts[0]

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Collection, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ledgerline.functions.text import strip
+from ledgerline.functions.text import sql_text, strip_sql
 
 
 def lower_names(df: DataFrame) -> DataFrame:
@@ -24,14 +24,14 @@ def trim_all(
     Columns in ``keep`` (amounts, for instance) pass as they are.
     """
 
-    def cleaned(f) -> Column:
-        c = F.col(f"`{f.name}`")
+    def cleaned(f) -> str:
+        c = f"`{f.name}`"
         if f.name in keep:
             return c
-        c = strip(c) if isinstance(f.dataType, StringType) else c.cast("string")
-        return (c if null_token is None else F.coalesce(c, F.lit(null_token))).alias(f.name)
+        text = strip_sql(c) if isinstance(f.dataType, StringType) else f"cast({c} as string)"
+        return f"{text} as {c}" if null_token is None else f"coalesce({text}, {sql_text(null_token)}) as {c}"
 
-    return df.select(*[cleaned(f) for f in df.schema.fields])
+    return df.selectExpr(*[cleaned(f) for f in df.schema.fields])
 
 
 def where_in(df: DataFrame, column: str, values: Sequence[str] | None) -> DataFrame:

@@ -7,20 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.text import LINE_BLANKS, strip
+from ledgerline.functions.text import LINE_BLANKS, strip_sql
 
 Slice = tuple[int, int]
 
 
-def field(at: Slice, line: Column | str = "value", trim: bool = True) -> Column:
-    """Characters ``[start, end)`` of a line; what a short line lacks reads as ''."""
+def _field_sql(at: Slice, line: str, trim: bool = True) -> str:
     start, end = at
-    text = F.substring(F.col(line) if isinstance(line, str) else line, start + 1, end - start)
-    return strip(text, LINE_BLANKS) if trim else text
+    text = f"substring(`{line}`, {start + 1}, {end - start})"
+    return strip_sql(text, LINE_BLANKS) if trim else text
+
+
+def field(at: Slice, line: str = "value", trim: bool = True) -> Column:
+    """Characters ``[start, end)`` of a line; what a short line lacks reads as ''."""
+    return F.expr(_field_sql(at, line, trim))
 
 
-def levels(slices: Sequence[Slice], line: Column | str = "value") -> Column:
-    return F.array(*[field(at, line) for at in slices])
+def levels(slices: Sequence[Slice], line: str = "value") -> Column:
+    return F.expr(f"array({', '.join(_field_sql(at, line) for at in slices)})")
 
 
 def where_tag(lines: DataFrame, tag: tuple[Slice, str]) -> DataFrame:
@@ -44,6 +48,6 @@ def parse(lines: DataFrame, layout: Sequence[tuple[str, int]], trim: bool = True
     """
     columns, start = [], 0
     for name, width in layout:
-        columns.append(field((start, start + width), trim=trim).alias(name))
+        columns.append(f"{_field_sql((start, start + width), 'value', trim)} as `{name}`")
         start += width
-    return lines.select(*columns)
+    return lines.selectExpr(*columns)
