@@ -2,24 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, else one below the warehouse.
 
-    Only a local-mode session that names none gets a temporary folder. On a
-    cluster the setting is required, since a folder of one machine is lost with it.
+    The warehouse is shared too wherever tables are; a folder of one machine
+    would be lost with it.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not named:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = sc.getCheckpointDir() or tempfile.mkdtemp(prefix="ledgerline-")
+        named = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(named)
     return named
