@@ -105,7 +105,7 @@ def _facts() -> str:
         "cod_sis_origen": _pick("l_orderkey + l_suppkey", "''", "'  '", "'GL'", "null"),
         "ind_pool": _pick("l_partkey", "'P'", "'Q'", "''"),
         "tipo_tasa_adis": _pick(
-            "l_orderkey", "'6'", "'06'", "'7'", "'A'", "'B'", "'C'", "''", "null"
+            "l_orderkey", "'6'", "'06'", "'7'", "'A'", "'B'", "'C'", "''", "null", "'6.0'", "' 7.00'", "'+6'"
         ),
         "spread_liq": f"cast({_TAX} + 1 as string)",
         "tip_concepto_ctb": "l_returnflag",

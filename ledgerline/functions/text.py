@@ -30,11 +30,11 @@ def cut_from(c: Column, marker: str) -> Column:
 
 
 def is_number(c: Column, value: int) -> Column:
-    """True when the text reads as this positive whole number: '06' and '6' are 6.
+    """True when the text reads as this positive whole number: '06', '6' and '6.0' are 6.
 
     A pattern rather than a cast: a failing cast costs an exception per row.
     """
-    return c.rlike(f"^\\s*[+]?0*{value}\\s*$")
+    return c.rlike(f"^\\s*[+]?0*{value}([.]0*)?\\s*$")
 
 
 def strip_prefix(c: Column, width: int, value: int) -> Column:

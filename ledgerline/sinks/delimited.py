@@ -5,10 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.joins import measured_bytes
-
-SINGLE_FILE_BYTES = 256 * 1024 * 1024
-
 
 def write_delimited(
     df: DataFrame,
@@ -16,22 +12,14 @@ def write_delimited(
     sep: str = ";",
     quoting: bool = False,
     files: int | None = None,
-    single_file: bool = False,
-    single_file_limit: int = SINGLE_FILE_BYTES,
 ) -> None:
     """Replace ``path`` with text files: one header each, NULL as blank, plain decimals.
 
     Values are joined as they are, as report readers expect; ``quoting`` puts
-    quotes round values that hold the separator. ``files`` asks for that many
-    files. ``single_file`` is for small reports: the rows all pass one task, so
-    their size is checked first.
+    quotes round values that hold the separator, a quote or a line break.
+    ``files`` asks for that many files; the folder of parts is the report.
     """
-    if single_file:
-        size = measured_bytes({"report": df})["report"]
-        if size > single_file_limit:
-            raise ValueError(f"{size} bytes are too many for one file; write a folder of parts")
-        df = df.coalesce(1)
-    elif files is not None:
+    if files is not None:
         df = df.repartition(files)
     text = df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
     writer_sep = sep

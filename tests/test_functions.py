@@ -21,8 +21,8 @@ def test_strip_prefix(spark):
 
 
 def test_is_number(spark):
-    got = column(spark, ["6", "06", "+6", "A", "6.0", "", None, "16", "60"], lambda c: text.is_number(c, 6))
-    assert got == [True, True, True, False, False, False, None, False, False]
+    got = column(spark, ["6", "06", "+6", "A", "6.0", " 6.00", "6.5", "", None, "16", "60"], lambda c: text.is_number(c, 6))
+    assert got == [True, True, True, False, True, True, False, False, None, False, False]
 
 
 def test_org_code(spark):
@@ -106,5 +106,8 @@ def test_where_in_and_projection(spark, rows):
     df = spark.createDataFrame([("x", "CRE"), ("y", "ZZZ")], "a string, c string")
     assert rows(shape.where_in(df, "c", ["CRE"])) == [("x", "CRE")]
     assert shape.where_in(df, "c", None) is df
+    padded = spark.createDataFrame([("CRE",), ("\tCRE ",), ("CREX",), ("ZZZ",), (None,)], "c string")
+    assert set(rows(shape.where_may_trim_to(padded, "c", ["CRE"]))) == {("\tCRE ",), ("CRE",), ("CREX",)}
+    assert shape.where_may_trim_to(padded, "c", None) is padded
     out = shape.constants(shape.select_map(df, [("N", "a")]), Fonte="")
     assert out.columns == ["N", "Fonte"] and rows(out) == [("x", ""), ("y", "")]

@@ -59,7 +59,7 @@ def test_daily_from_files_to_files(spark, loaded, tmp_path, rows):
     order = result.consolidated.columns
     assert rows(result.consolidated) == rows(report.consolidated(direct, jobs.DAILY).select(*order))
 
-    jobs.write(result, str(tmp_path), "report", inputs.DATE, consolidated_single_file=True)
+    jobs.write(result, str(tmp_path), "report", inputs.DATE, consolidated_files=1)
     (part,) = glob.glob(f"{tmp_path}/report_consolidado_{inputs.DATE}/part-*")
     text = open(part, encoding="utf-8").read().splitlines()
     assert text[0] == ";".join(order) and text.count(text[0]) == 1

@@ -25,16 +25,12 @@ def test_raw_text_one_header_per_file(report, tmp_path):
 
 def test_quoting_round_trip(spark, report, tmp_path):
     path = str(tmp_path / "out")
-    write_delimited(report, path, quoting=True, single_file=True)
+    broken = spark.createDataFrame([('two\nlines; "q"', "b", "c", Decimal(1))], report.schema)
+    write_delimited(report.union(broken), path, quoting=True, files=1)
     (part,) = glob.glob(path + "/part-*")
     assert open(part).read().count("A;B;C;D") == 1
-    back = spark.read.csv(path, sep=";", header=True, escape="\\")
-    assert {r["A"] for r in back.collect()} == {"a;b", " lead"}
-
-
-def test_single_file_is_for_small_reports(report, tmp_path):
-    with pytest.raises(ValueError, match="too many"):
-        write_delimited(report, str(tmp_path / "out"), single_file=True, single_file_limit=10)
+    back = spark.read.csv(path, sep=";", header=True, escape="\\", multiLine=True)
+    assert {(r["A"], r["B"]) for r in back.collect()} == {("a;b", 'say "x"'), (" lead", None), ('two\nlines; "q"', "b")}
 
 
 def test_round_trip_as_rules(spark, tmp_path, rows):
