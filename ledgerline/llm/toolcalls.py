@@ -145,13 +145,21 @@ def _levels(edges: DataFrame, group: int) -> DataFrame:
     schema = "conv_id long, call_id string, level int"
     sizes = edges.groupBy("conv_id").agg(F.count("*").alias("__n"))
     sized = edges.join(sizes, "conv_id")
+    # at most ``group`` references a row, many conversations a batch
+    small = sized.where(F.col("__n") <= group).groupBy("conv_id").agg(F.collect_list(F.struct("call_id", "needs")).alias("edges"))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = levels(list(zip(pdf["call_id"], pdf["needs"])))
-        level = pd.array(list(found.values()), dtype="Int32")
-        return pd.DataFrame({"conv_id": pdf["conv_id"].iloc[0], "call_id": list(found), "level": level})
-
-    out = sized.where(F.col("__n") <= group).groupBy("conv_id").applyInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            convs, calls, depths = [], [], []
+            for conv, found in zip(batch.column("conv_id").to_pylist(), batch.column("edges").to_pylist()):
+                depth = levels([(e["call_id"], e["needs"]) for e in found])
+                convs += [conv] * len(depth)
+                calls += depth.keys()
+                depths += depth.values()
+            values = [pa.array(convs, pa.int64()), pa.array(calls, pa.string()), pa.array(depths, pa.int32())]
+            yield pa.RecordBatch.from_arrays(values, ["conv_id", "call_id", "level"])
+
+    out = small.mapInArrow(run, schema)
     rest = cut(sized.where(F.col("__n") > group).drop("__n"))
     if rest.isEmpty():
         return out
