@@ -230,7 +230,7 @@ _CHAIN = """select cast(p_partkey as string) as child, cast(p_partkey - 1 as str
 def ancestor_depth_cap(spark, sf_dir):
     """A chain longer than the climb limit (H6, H7)."""
     chain = spark.sql(_CHAIN, part=inputs.table(spark, sf_dir, "part"))
-    return hierarchy.nearest_ancestor(chain)
+    return hierarchy.nearest_ancestor(chain).withColumn("copies", F.col("copies").cast("bigint"))
 
 
 # --- joins ------------------------------------------------------------------------

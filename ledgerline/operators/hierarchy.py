@@ -12,6 +12,8 @@ from ledgerline.functions.text import cut_from
 from ledgerline.operators.joins import lookup
 from ledgerline.operators.lineage import cut
 
+PATHS = "decimal(38,0)"  # paths multiply; a bigint would overflow in a tree of many diamonds
+
 
 def first_label(
     code: Column,
@@ -111,7 +113,7 @@ def nearest_ancestor(
             F.when(done, F.col("descr")).alias("label"),
         )
         .groupBy("key", "next", "done", "line", "label")
-        .agg(F.count(F.lit(1)).alias("copies"))
+        .agg(F.count(F.lit(1)).cast(PATHS).alias("copies"))
     )
     # steps = looks at the node itself plus max_climb looks at parents
     wanted = max_climb + 1
@@ -137,7 +139,7 @@ def nearest_ancestor(
         )
         .where((F.col("line") != fallback) | (F.coalesce(F.col("child"), F.lit("")) != ""))
         .groupBy("child", "line", "label")
-        .agg(F.sum("copies").alias("copies"))
+        .agg(F.sum("copies").cast(PATHS).alias("copies"))
     )
 
 
@@ -160,14 +162,14 @@ def _then(first: DataFrame, second: DataFrame, fallback: str) -> DataFrame:
         F.coalesce("done2", F.lit(True)).alias("done"),
         F.when(missing, fallback).otherwise(F.col("line")).alias("line"),
         F.when(missing, fallback).otherwise(F.col("label")).alias("label"),
-        (F.col("times") * F.coalesce("copies", F.lit(1))).alias("copies"),
+        (F.col("times") * F.coalesce("copies", F.lit(1).cast(PATHS))).cast(PATHS).alias("copies"),
     )
     return (
         first.where("done")
         .select("key", "next", "done", "line", "label", "copies")
         .unionByName(moved)
         .groupBy("key", "next", "done", "line", "label")
-        .agg(F.sum("copies").alias("copies"))
+        .agg(F.sum("copies").cast(PATHS).alias("copies"))
     )
 
 

@@ -4,29 +4,45 @@
 scan, combined on the map side, a bounded number of hashes on the driver. The
 sketch only steers the plan; every row is joined whichever way it says.
 
-``salted_join`` spreads the rows of a hot key over several salts and repeats
-the few matching rows of the other side once per salt. Rows of other keys keep
-salt 0 and are never repeated.
+``salted_join`` spreads the rows of a hot key over as many salts as its share of the
+rows needs and repeats the few matching rows of the other side once per salt. Rows of
+other keys keep salt 0 and are never repeated.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_TRACKED = 10_000  # items in the sketch: shares are exact to about 0.035 %
-_FLOOR = 0.001  # never look for more than 1000 keys
+_TRACKED = 10_000, 1_000_000  # least and most items in the sketch; counts are off by 3.5 rows in so many
 
 SPREAD = "__spread"
 
 
 class HotKeys(NamedTuple):
-    hashes: tuple[int, ...] = ()
-    salts: int = 1
+    """Hashes of hot keys by the number of salts they need, a power of two."""
+
+    levels: tuple[tuple[int, tuple[int, ...]], ...] = ()
+
+    @property
+    def hashes(self) -> tuple[int, ...]:
+        return tuple(h for _, hashes in self.levels for h in hashes)
+
+    @property
+    def salts(self) -> int:
+        """The most salts of a key."""
+        return max((n for n, _ in self.levels), default=1)
+
+    def salts_of(self, key_hash: Column) -> Column:
+        out = F.lit(1)
+        for n, hashes in self.levels:
+            out = F.when(key_hash.isin(*hashes), n).otherwise(out)
+        return out
 
 
 def with_spread(df: DataFrame) -> DataFrame:
@@ -46,15 +62,18 @@ def hot_keys(
     df: DataFrame, key_sets: dict[str, Sequence[str]], min_share: float | None = None
 ) -> dict[str, HotKeys]:
     """Keys holding at least ``min_share`` of the rows (default: two partitions' worth)."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    share = min_share or max(2.0 / partitions, _FLOOR)
+    conf = df.sparkSession.conf
+    partitions = conf.get("spark.sql.shuffle.partitions")
+    partitions = int(conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", partitions))
+    share = min_share or min(2.0 / partitions, 1.0)
     hashed = df.select(
         *[_hash([F.col(c) for c in keys]).alias(name) for name, keys in key_sets.items()]
     )
     k = math.ceil(1.0 / share)
+    tracked = min(max(_TRACKED[0], 20 * k), _TRACKED[1])
     row = hashed.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.expr(f"approx_top_k(`{name}`, {k}, {_TRACKED})").alias(name) for name in key_sets],
+        *[F.expr(f"approx_top_k(`{name}`, {k}, {tracked})").alias(name) for name in key_sets],
     ).first()
     found = {}
     for name in key_sets:
@@ -63,8 +82,10 @@ def hot_keys(
             for item in (row[name] or [])
             if item["count"] >= share * row["__rows"]
         }
-        salts = math.ceil(max(shares.values()) * partitions) if shares else 1
-        found[name] = HotKeys(tuple(shares), max(salts, 2) if shares else 1)
+        levels = defaultdict(list)
+        for key_hash, part in shares.items():
+            levels[1 << max(math.ceil(part * partitions) - 1, 1).bit_length()].append(key_hash)
+        found[name] = HotKeys(tuple((n, tuple(levels[n])) for n in sorted(levels)))
     return found
 
 
@@ -103,17 +124,12 @@ def salted_join(
 
     drop = list(keys.values())
     condition = [same(left[lk], right[rk]) for lk, rk in keys.items()]
-    if hot.hashes:
+    if hot.levels:
         by = F.col(SPREAD) if SPREAD in left.columns else F.xxhash64(*[F.col(f"`{c}`") for c in left.columns])
-        l_hot = _hash([F.col(f"`{c}`") for c in on]).isin(*hot.hashes)
-        r_hot = _hash([F.col(c) for c in keys.values()]).isin(*hot.hashes)
-        left = left.withColumn("__salt", F.when(l_hot, F.pmod(by, F.lit(hot.salts)).cast("int")).otherwise(0))
-        right = right.withColumn(
-            "__salt_r",
-            F.explode(
-                F.when(r_hot, F.sequence(F.lit(0), F.lit(hot.salts - 1))).otherwise(F.array(F.lit(0)))
-            ),
-        )
+        left = left.withColumn("__salt", _hash([F.col(f"`{c}`") for c in on]))
+        left = left.withColumn("__salt", F.pmod(by, hot.salts_of(F.col("__salt"))).cast("int"))
+        right = right.withColumn("__salt_r", _hash([F.col(c) for c in keys.values()]))
+        right = right.withColumn("__salt_r", F.explode(F.sequence(F.lit(0), hot.salts_of(F.col("__salt_r")) - 1)))
         condition = [same(left[lk], right[rk]) for lk, rk in keys.items()]
         condition.append(left["__salt"] == right["__salt_r"])
         drop += ["__salt", "__salt_r"]

@@ -2,6 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from ledgerline import layouts
 from ledgerline.operators import hierarchy
 
 
@@ -123,3 +124,12 @@ def test_edges_cut_descriptions(spark, rows):
     df = spark.createDataFrame([("a", "p", "xx BP - y"), ("b", "p", "x TBP BP"), ("c", "p", "none")], "c string, p string, d string")
     got = rows(df.select(*hierarchy.edges(F.col("c"), F.col("p"), F.col("d"))), "child", "descr")
     assert got == [("a", "BP - y"), ("b", "x TBP BP"), ("c", "none")]
+
+
+def test_a_ladder_of_diamonds_has_many_paths(spark):
+    """Twenty parents a step for fifteen steps: more paths than a bigint holds."""
+    rows = [(f"n{i}_{k}", f"n{i + 1}_{m}", "x") for i in range(15) for k in range(20) for m in range(20)]
+    rows += [(f"n15_{k}", None, layouts.LINE_MARKERS[0]) for k in range(20)]
+    nodes = spark.createDataFrame(rows, "child string, parent string, descr string")
+    got = hierarchy.nearest_ancestor(nodes).where("child = 'n0_0'").collect()
+    assert len(got) == 20 and {int(r.copies) for r in got} == {20**14}

@@ -55,6 +55,20 @@ def test_no_hot_keys_means_plain_join(spark):
     assert hot_keys(left, {"k": ["k"]})["k"].hashes == ()
 
 
+def test_small_shares_are_split_among_many_partitions(spark):
+    rows = spark.range(200_000).select(F.when(F.col("id") % 2000 == 0, -1).when(F.col("id") % 100 == 1, -2).otherwise(F.col("id")).alias("k"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        hot = hot_keys(rows, {"k": ["k"]})["k"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    salts = {h: n for n, hashes in hot.levels for h in hashes}
+    known = spark.createDataFrame([(-1,), (-2,)], "k long").select("k", F.xxhash64("k").alias("h")).collect()
+    found = {r.k: salts[r.h] for r in known}
+    assert found == {-1: 4, -2: 64} and len(salts) == 2
+
+
 def test_key_types_must_agree(spark):
     with pytest.raises(TypeError):
         salted_join(spark.range(3), spark.createDataFrame([("1",)], "r string"), {"id": "r"})
