@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, langid, linededup, packing, pii, quality, simhash, suffixdedup, toolcalls, vectorfile
+from ledgerline.llm import (
+    decontaminate, divergence, langid, linededup, onlinepack, packing, pii, quality, simhash, suffixdedup, toolcalls, vectorfile, whitening,
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,10 +100,23 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectorfile.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5, "vec_id", "embedding")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return onlinepack.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (op1_decontamination, op2_suffix_dedup, op3_pii, op4_tool_calls, op5_packing, op6_quality,
-              op7_line_dedup, op8_simhash, op9_language_id, op10_exact_top_k)
+              op7_line_dedup, op8_simhash, op9_language_id, op10_exact_top_k, op11_embedding_whitening,
+              op12_source_divergence, op13_online_packing)
 }
 
 ORACLES: dict[str, str] = {
@@ -122,3 +137,45 @@ ORACLES: dict[str, str] = {
         select query_id, rank, vec_id, score from ranked where rank <= 5
     """,
 }
+ORACLES["op12_source_divergence"] = """
+    with d as (
+        select row_number() over () as rid, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source
+        from documents
+    ), tok as (
+        select rid, lang, source,
+               unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+        from d
+    ), vocab as (
+        select lang, term from tok group by lang, term having count(distinct rid) >= 30
+    ), kept as (select lang, count(*)::hugeint as nv from vocab group by lang),
+    gc as (select lang, source, term, count(*)::hugeint as c from tok join vocab using (lang, term) group by all),
+    groups as (
+        select g.lang, g.source, coalesce(t.total, 0)::hugeint as total, coalesce(k.nv, 0)::hugeint as nv
+        from (select distinct lang, source from d) g
+        left join (select lang, source, sum(c) as total from gc group by all) t using (lang, source)
+        left join kept k using (lang)
+    ), grid as (
+        select g.lang, g.source, v.term, coalesce(gc.c, 0)::hugeint as c, g.total, g.nv
+        from groups g join vocab v using (lang) left join gc using (lang, source, term)
+    ), pg as (
+        select lang, source, term, c, 1 + (1000000000::hugeint * (c + 5)) // (total + 5 * nv) as p from grid
+    ), lang_p as (
+        select lang, term, 1 + (1000000000::hugeint * (sum(c) + 5)) // (sum(sum(c)) over (partition by lang) + 5 * any_value(nv)) as q
+        from grid group by lang, term
+    ), pair as (
+        select a.lang, a.source, b.source as item,
+               coalesce((select sum(abs(x.p - y.p)) from pg x join pg y using (lang, term)
+                         where x.lang = a.lang and x.source = a.source and y.source = b.source), 0)::bigint as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    ), term as (
+        select pg.lang, pg.source, pg.term as item, (pg.p - lang_p.q)::bigint as value
+        from pg join lang_p using (lang, term) where pg.c > 0 and pg.p > lang_p.q
+    ), parts as (
+        select lang, source, 'pair' as part, item, value from pair
+        union all select lang, source, 'term' as part, item, value from term
+    ), ranked as (
+        select *, (row_number() over (partition by lang, source, part order by value desc, item))::integer as rank from parts
+    )
+    select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 50
+"""
