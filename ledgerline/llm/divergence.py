@@ -24,6 +24,8 @@ from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators.lineage import stage
+
 # Fixed values of the audit's definition.
 TERMS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -51,9 +53,13 @@ def _entries(batches):
         if flat_idx is None or len(flat_idx) != len(flat_val):  # dense vectors: positions are the indices
             starts = pc.list_value_length(val).to_numpy(zero_copy_only=False)
             flat_idx = pa.array(np.concatenate([np.arange(s) for s in starts]) if len(starts) else [], pa.int32())
+        # one marker (index -1, count 0) per document, so that groups without kept terms are seen too
+        rows = b.num_rows
         yield pa.RecordBatch.from_arrays(
-            [pc.take(b.column("__lang"), parent), pc.take(b.column("__source"), parent), flat_idx.cast(pa.int32()),
-             pc.cast(flat_val, pa.int64())],
+            [pa.concat_arrays([pc.take(b.column("__lang"), parent), b.column("__lang")]),
+             pa.concat_arrays([pc.take(b.column("__source"), parent), b.column("__source")]),
+             pa.concat_arrays([flat_idx.cast(pa.int32()), pa.array(np.full(rows, -1, dtype=np.int32))]),
+             pa.concat_arrays([pc.cast(flat_val, pa.int64()), pa.array(np.zeros(rows, dtype=np.int64))])],
             names=["lang", "source", "idx", "c"])
 
 
@@ -85,19 +91,23 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS) -> D
     vocabulary = model.vocabulary if model else []
     vocab = spark.createDataFrame([(i, *w.rsplit(SEP, 1)) for i, w in enumerate(vocabulary)], "idx int, lang string, term string")
     kept = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("nv"))
-    counts = (model.transform(prefixed).select("__lang", "__source", "__vec")
-              .mapInArrow(_entries, "lang string, source string, idx int, c long")
-              .groupBy("lang", "source", "idx").agg(F.sum("c").alias("c"))) if model else (
-        spark.createDataFrame([], "lang string, source string, idx int, c long"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("c").alias("total"))
-    groups = (docs.select(F.col("__lang").alias("lang"), F.col("__source").alias("source")).distinct()
-              .join(totals, ["lang", "source"], "left").join(kept, "lang", "left")
-              .select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("nv", F.lit(0)).alias("nv")))
+    if model:
+        flat = model.transform(prefixed).select("__lang", "__source", "__vec").mapInArrow(
+            _entries, "lang string, source string, idx int, c long")
+    else:
+        flat = prefixed.select(F.col("__lang").alias("lang"), F.col("__source").alias("source"),
+                               F.lit(-1).alias("idx"), F.lit(0).cast("long").alias("c"))
+    # The one pass over the documents: (lang, source, term) counts, at most groups x kept terms rows, stored once.
+    summed = stage(flat.groupBy("lang", "source", "idx").agg(F.sum("c").alias("c")), "divergence-counts")
+    counts = summed.where(F.col("idx") >= 0)
+    groups = (summed.groupBy("lang", "source").agg(F.sum("c").alias("total")).join(kept, "lang", "left")
+              .select("lang", "source", "total", F.coalesce("nv", F.lit(0)).alias("nv")))
     groups = groups.withColumn("z", _exact_p("0", "total", "nv"))
-    entries = counts.join(groups, ["lang", "source"]).select(
-        "lang", "source", "idx", "c", _exact_p("c", "total", "nv").alias("p"))
+    entries = stage(counts.join(groups, ["lang", "source"]).select(
+        "lang", "source", "idx", "c", _exact_p("c", "total", "nv").alias("p")), "divergence-entries")
 
-    pairs = groups.alias("a").join(groups.alias("b"), "lang").where(F.col("a.source") != F.col("b.source")).select(
+    # unordered pairs (a < b); the value is symmetric and is given to both sides below
+    pairs = groups.alias("a").join(groups.alias("b"), "lang").where(F.col("a.source") < F.col("b.source")).select(
         "lang", F.col("a.source").alias("a"), F.col("b.source").alias("b"), F.col("a.z").alias("za"),
         F.col("b.z").alias("zb"), F.col("a.nv").alias("nv"))
     side_a = entries.select("lang", F.col("source").alias("a"), "idx", F.col("p").alias("pa")).join(pairs.select("lang", "a", "b"), ["lang", "a"])
@@ -106,11 +116,13 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS) -> D
               .join(pairs.select("lang", "a", "b", "za", "zb"), ["lang", "a", "b"])
               .groupBy("lang", "a", "b")
               .agg(F.sum(F.abs(F.coalesce("pa", "za") - F.coalesce("pb", "zb"))).alias("near"), F.count(F.lit(1)).alias("seen")))
-    pair = (pairs.join(shared, ["lang", "a", "b"], "left")
-            .select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"),
+    valued = (pairs.join(shared, ["lang", "a", "b"], "left")
+              .select("lang", "a", "b",
                     F.when(F.col("nv") == 0, F.lit(0)).otherwise(
                         F.coalesce("near", F.lit(0)) + (F.col("nv") - F.coalesce("seen", F.lit(0))) * F.abs(F.col("za") - F.col("zb"))
                     ).cast("long").alias("value")))
+    pair = valued.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), "value").unionByName(
+        valued.select("lang", F.col("b").alias("source"), F.lit("pair").alias("part"), F.col("a").alias("item"), "value"))
 
     lang_counts = counts.groupBy("lang", "idx").agg(F.sum("c").alias("cl"))
     lang_totals = lang_counts.groupBy("lang").agg(F.sum("cl").alias("tl")).join(kept, "lang")
