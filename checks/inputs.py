@@ -54,6 +54,9 @@ _CONTENT = _pick(
 )
 _PERSON = "case when {k} % 3 = 0 then '10033' || cast({k} as string) else cast({k} as string) end"
 
+#: Amounts stored as double: measures that hold them follow double arithmetic.
+DOUBLE_AMOUNTS = {"imp_efec_enc_ml_acum"}
+
 _AMOUNT_SQL = {
     "imp_sdo_cap_med_ml": _PRICE,
     "imp_sdo_med_int_ml": f"{_PRICE} * {_DISC}",
@@ -63,7 +66,9 @@ _AMOUNT_SQL = {
     "imp_sdo_insolv_ml": f"-({_QTY} * {_TAX})",
     "imp_ing_per_ml": f"{_PRICE} * {_TAX}",
     # text, and now and then no number
-    "imp_ing_cap_ml": f"case when l_linenumber = 7 and l_returnflag = 'A' then 'n/a' else ' ' || cast({_QTY} as string) end",
+    # text with nine decimals, and now and then no number
+    "imp_ing_cap_ml": f"""case when l_linenumber = 7 and l_returnflag = 'A' then 'n/a' else ' ' || cast(cast(
+        cast({_QTY} as decimal(20,9)) + cast(l_orderkey % 7 as decimal(20,9)) * cast(0.000000001 as decimal(20,9)) as decimal(20,9)) as string) end""",
     "imp_egr_per_ml": f"-({_PRICE} * {_DISC} * {_TAX})",
     "imp_egr_cap_ml": f"case when l_linenumber = 6 and l_returnflag = 'R' then null else -{_QTY} end",
     "imp_ajtti_egr_tb_cap_ml": f"{_DISC} * 3",
@@ -82,7 +87,8 @@ def _facts() -> str:
         text = name == "imp_ing_cap_ml"
         amounts[name] = expr if text else f"cast({expr} as decimal(18,6))"
         if "ajtti" in name or "efec" in name:
-            amounts[name + "_acum"] = f"cast(({expr}) * 2 as decimal(18,6))"
+            kind = "double" if name + "_acum" in DOUBLE_AMOUNTS else "decimal(18,6)"
+            amounts[name + "_acum"] = f"cast(({expr}) * 2 as {kind})"
     attributes = {
         "idf_cto_ods": _code("K", "l_orderkey", 9),
         "fec_data": f"'{DATE} '",
@@ -235,7 +241,8 @@ from {{customer}}""",
         (16, "'U' || " + _text("s_nationkey % 10")),
     ) + " as value from {supplier}",
     "sign_rules": """select 'A' as Conceito_Contabil, 'NIVEL ' || p_brand as Balanco_LDN_Nivel_3,
-  case when p_brand < 'Brand#2' then '-1' else '1' end as Criterio_de_Sinais
+  case when p_brand < 'Brand#2' then '-1' when p_brand < 'Brand#3' then '0.33333'
+    when p_brand < 'Brand#4' then '1000000' else '1' end as Criterio_de_Sinais
 from {part} group by p_brand
 union all
 select 'R', 'NIVEL ' || p_brand, case when p_brand < 'Brand#15' then '-1' else 'x' end

@@ -117,16 +117,23 @@ def climb(edges: str = "edges", name: str = "product_lines") -> str:
 _RATE = "decimal(28,10)"
 
 
-def number(expr: str) -> str:
-    return f"try_cast(cast({expr} as varchar) as decimal(28,6))"
+# Wide enough for every amount of the check inputs (at most nine decimals) and every factor (five).
+_AMOUNT, _FACTOR = "decimal(30,9)", "decimal(18,5)"
+
+
+def number(expr: str, kind: str = _AMOUNT) -> str:
+    return f"try_cast(trim(cast({expr} as varchar)) as {kind})"
 
 
 def measure(cols: list[str], sign: str = "sign") -> str:
-    total = " + ".join(f"cast({number(c)} as decimal(34,6))" for c in cols)
-    return f"cast(({total}) * cast({sign} as integer) as decimal(36,6))"
+    if any(c in inputs.DOUBLE_AMOUNTS for c in cols):
+        total = " + ".join(number(c, "double") for c in cols)
+        return f"(({total}) * cast({sign} as double))"
+    total = " + ".join(number(c) for c in cols)
+    return f"(({total}) * cast({sign} as {_FACTOR}))"
 
 
-SIGN = "case when r.Criterio_de_Sinais is null then 1 else try_cast(r.Criterio_de_Sinais as integer) end"
+SIGN = f"case when r.Criterio_de_Sinais is null then 1 else try_cast(trim(r.Criterio_de_Sinais) as {_FACTOR}) end"
 
 
 def _is(expr: str, n: int) -> str:
@@ -281,7 +288,8 @@ def _shown(columns: list[str], monthly: bool) -> str:
         if c in layouts.DETAIL_SUMS:
             shown.append(f"{out(f'sum({c})')} as {c}")
         elif c in numeric:
-            shown.append(f"{out(c, 4)} as {c}")
+            doubled = any(a in inputs.DOUBLE_AMOUNTS for a in layouts.MEASURES.get(c, []))
+            shown.append(f"{out(f'cast({c} as decimal(38,10))' if doubled else c, 4)} as {c}")
         elif c == "Fonte":
             shown.append("'' as Fonte")
         else:

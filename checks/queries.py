@@ -12,6 +12,7 @@ from checks.oracles import out, source, trim, with_
 from ledgerline import layouts
 from ledgerline.functions import ladders
 from ledgerline.functions.numbers import clean_round as rounded_columns
+from ledgerline.functions.numbers import exact_types
 from ledgerline.functions.text import strip_prefix
 from ledgerline.operators import hierarchy, measures, rollup, shape
 from ledgerline.operators.joins import lookup
@@ -65,40 +66,49 @@ _MEASURED = with_(
     oracles.FACTS, oracles.PRODUCT_LABELS, oracles.SIGNED,
 )
 _ALL_MEASURES = list(layouts.MEASURES)
+#: Measures of a double amount are doubles; they are shown through ten decimals, where both engines agree.
+_DOUBLE_MEASURES = {m for m, cols in layouts.MEASURES.items() if set(cols) & inputs.DOUBLE_AMOUNTS}
+
+
+def _steady(m: str, sql: str | None = None) -> str:
+    expr = sql or m
+    return f"cast({expr} as decimal(38,10))" if m in _DOUBLE_MEASURES else expr
 
 
 def _measured(spark: SparkSession, sf_dir: str) -> DataFrame:
     facts = _facts(spark, sf_dir)
+    types = exact_types(facts, layouts.AMOUNTS)
     labels = tables.product_labels(inputs.frame(spark, sf_dir, "product_flat_lines"))
     facts = lookup(facts, labels, {"cod_producto_gest": "cod_prod"})
     signs = inputs.frame(spark, sf_dir, "sign_rules").withColumnRenamed("Balanco_LDN_Nivel_3", "sign_label")
     facts = lookup(
         facts, signs, {"tip_concepto_ctb": "Conceito_Contabil", "Balanco_LDN_Nivel_3": "sign_label"}
     )
-    return measures.signed_sum(facts, layouts.MEASURES, F.col("Criterio_de_Sinais"))
+    sign_type = exact_types(signs, ["Criterio_de_Sinais"])["Criterio_de_Sinais"]
+    return measures.signed_sum(facts, layouts.MEASURES, F.col("Criterio_de_Sinais"), sign_type=sign_type, types=types)
 
 
 @query(
     f"{_MEASURED}\nselect cod_segmento_gest, cod_tip_ajuste, cod_contenido, "
-    + ", ".join(f"{out(f'sum({m})')} as {m}" for m in _ALL_MEASURES)
+    + ", ".join(f"{out(_steady(m, f'sum({m})'))} as {m}" for m in _ALL_MEASURES)
     + " from signed group by cod_segmento_gest, cod_tip_ajuste, cod_contenido"
 )
 def signed_rollup(spark, sf_dir):
     """Sign rules, measures and a group-by."""
     keys = ["cod_segmento_gest", "cod_tip_ajuste", "cod_contenido"]
     grouped = rollup.group_sum(_measured(spark, sf_dir), keys, _ALL_MEASURES)
-    return grouped.select(*keys, *[shown(m).alias(m) for m in _ALL_MEASURES])
+    return grouped.select(*keys, *[shown(F.expr(_steady(m))).alias(m) for m in _ALL_MEASURES])
 
 
 @query(
     f"{_MEASURED}\nselect idf_cto_ods, cod_contenido, cod_producto_gest, cod_cta_cont_gestion, "
-    + ", ".join(f"{out(m, 4)} as {m}" for m in _ALL_MEASURES) + " from signed"
+    + ", ".join(f"{out(_steady(m), 4)} as {m}" for m in _ALL_MEASURES) + " from signed"
 )
 def measures_all(spark, sf_dir):
     """Eight measures per fact (M0-M8)."""
     return _measured(spark, sf_dir).select(
         "idf_cto_ods", "cod_contenido", "cod_producto_gest", "cod_cta_cont_gestion",
-        *[shown(m, 4).alias(m) for m in _ALL_MEASURES],
+        *[shown(F.expr(_steady(m)), 4).alias(m) for m in _ALL_MEASURES],
     )
 
 
@@ -568,9 +578,10 @@ def _job_output(df: DataFrame) -> DataFrame:
     """Amounts as doubles: sums to two digits, numeric attributes to four."""
     columns = []
     for f in df.schema.fields:
-        numeric = f.dataType.typeName() == "decimal"
+        numeric = f.dataType.typeName() in ("decimal", "double")
         digits = 2 if f.name in layouts.DETAIL_SUMS else 4
-        columns.append(shown(f.name, digits).alias(f.name) if numeric else F.col(f.name))
+        value = F.col(f.name).cast("decimal(38,10)") if f.dataType.typeName() == "double" else F.col(f.name)
+        columns.append(shown(value, digits).alias(f.name) if numeric else F.col(f.name))
     return df.select(*columns)
 
 

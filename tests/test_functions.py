@@ -111,3 +111,10 @@ def test_where_in_and_projection(spark, rows):
     assert shape.where_may_trim_to(padded, "c", None) is padded
     out = shape.constants(shape.select_map(df, [("N", "a")]), Fonte="")
     assert out.columns == ["N", "Fonte"] and rows(out) == [("x", ""), ("y", "")]
+
+
+def test_clean_round_rounds_text_once(spark):
+    """Digits beyond the tenth decide nothing twice: 0.12345499999999 is 0.12345, not 0.12346."""
+    df = spark.createDataFrame([("0.123454999999999",), ("-2.5",), ("123456789012345678901234567.125",), ("1.2.3",), ("-",)], "s string")
+    got = [r.s for r in clean_round(df, {"s": 5}).collect()]
+    assert got == [Decimal("0.12345"), Decimal("-2.50000"), Decimal("123456789012345678901234567.12500"), None, None]

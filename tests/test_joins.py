@@ -148,6 +148,36 @@ def test_signed_sum(spark, rows):
     assert got == want
 
 
+def test_signed_sum_is_exact(spark, rows):
+    """Thirds, a factor of a million, nine decimals in text and a double column: nothing is cut or lost."""
+    df = spark.createDataFrame(
+        [("a", " 1.123456789", Decimal("2.25"), 0.1, "0.33333"), ("b", "2.000000001", Decimal("99999999.99"), 0.2, "1000000"),
+         ("c", "3", Decimal("1"), 0.3, None), ("d", "4.5", Decimal("1"), 0.25, "-1")],
+        "k string, x string, y decimal(10,2), z double, s string",
+    )
+    signs = df.select("s")
+    sign_type = measures.exact_types(signs, ["s"])["s"]
+    assert sign_type == "decimal(12,5)"
+    out = measures.signed_sum(df, {"m": ["x", "y"], "w": ["y", "z"]}, F.col("s"), sign_type=sign_type)
+    got = dict(rows(out, "k", "m"))
+    assert got == {
+        "a": (Decimal("1.123456789") + Decimal("2.25")) * Decimal("0.33333"),
+        "b": (Decimal("2.000000001") + Decimal("99999999.99")) * 1_000_000,
+        "c": Decimal("4"), "d": Decimal("-5.5"),
+    }
+    assert all(v is not None for v in got.values())
+    assert out.schema["w"].dataType.simpleString() == "double"  # double input: the input's own arithmetic
+    assert dict(rows(out, "k", "w"))["a"] == (2.25 + 0.1) * 0.33333
+    derived = measures.signed_sum(df, {"m": ["x", "y"]}, F.col("s"))  # the factor's type found on the frame itself
+    assert dict(rows(derived, "k", "m")) == got
+
+
+def test_exact_types(spark):
+    df = spark.createDataFrame([(" 007.50 ", 1, 2.0, Decimal("1.5"), "x")], "t string, i int, d double, m decimal(7,3), bad string")
+    assert measures.exact_types(df, ["t", "i", "d", "m", "bad"]) == {
+        "t": "decimal(2,1)", "i": "decimal(10,0)", "d": "double", "m": "decimal(7,3)", "bad": "decimal(1,0)"}
+
+
 def test_group_sum_with_copies(spark, rows):
     df = spark.createDataFrame([("a", Decimal("1.50"), 3), ("a", None, 9), ("b", None, 2)], "k string, m decimal(10,2), n bigint")
     assert rows(rollup.group_sum(df, ["k"], ["m"], "n")) == [("a", Decimal("4.50")), ("b", None)]
