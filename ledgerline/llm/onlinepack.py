@@ -20,7 +20,9 @@ then ``END_ID``. Null text counts as empty (one id).
 from __future__ import annotations
 
 import math
+import re
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,6 +37,7 @@ WINDOWS = 8
 FAN = 64
 END_ID = 0
 LEVEL_BITS, GROUP_BITS = 56, 32
+SEGMENT = 1 << 20  # characters encoded at once: the library's encodings hold some 100 bytes a token
 
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "wkey long, pno int, ids array<int>, grp long")
@@ -105,6 +108,52 @@ def _frame(rows: list[tuple], group: int) -> pd.DataFrame:
     return pdf
 
 
+_CUT = re.compile(r"(?<=\S) (?=\S)")  # a lone space between two other characters starts a new word
+
+
+def segments(text: str, size: int = SEGMENT) -> list[str]:
+    """The text in pieces of about ``size`` characters, cut only before a lone space between two non-spaces.
+
+    The byte-level vocabulary's words start at such a space, and merges never cross words, so the ids
+    of the pieces are those of the whole text. A text without such a space stays whole.
+    """
+    out, start = [], 0
+    while len(text) - start > size:
+        found = _CUT.search(text, start + size)
+        if not found:
+            break
+        out.append(text[start:found.start()])
+        start = found.start()
+    out.append(text[start:])
+    return out
+
+
+_END = np.array([END_ID], dtype=np.uint32)
+
+
+def _many(tok, texts: list[str]) -> Iterator[np.ndarray]:
+    for enc in tok.encode_batch(texts, add_special_tokens=False):
+        yield np.concatenate([np.asarray(enc.ids, dtype=np.uint32), _END])
+
+
+def encoded(tok, texts: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each text, then END_ID, in order; at most about SEGMENT characters are encoded at once."""
+    held, size = [], 0
+    for text in texts:
+        if len(text) >= SEGMENT:
+            yield from _many(tok, held)
+            held, size = [], 0
+            parts = [np.asarray(tok.encode(piece, add_special_tokens=False).ids, dtype=np.uint32) for piece in segments(text)]
+            yield np.concatenate([*parts, _END])
+            continue
+        held.append(text)
+        size += len(text)
+        if size >= SEGMENT:
+            yield from _many(tok, held)
+            held, size = [], 0
+    yield from _many(tok, held)
+
+
 def _first_level(path: str, length: int, windows: int, final: bool):
     def pack(batches):
         from tokenizers import Tokenizer
@@ -114,8 +163,7 @@ def _first_level(path: str, length: int, windows: int, final: bool):
         packer = Packer(length, windows, part << GROUP_BITS)
         for pdf in batches:
             texts = pdf["text"].fillna("").tolist()
-            for doc_id, enc in zip(pdf["doc_id"].tolist(), tok.encode_batch(texts, add_special_tokens=False)):
-                ids = np.fromiter((*enc.ids, END_ID), dtype=np.uint32)
+            for doc_id, ids in zip(pdf["doc_id"].tolist(), encoded(tok, texts)):
                 packer.add(None if pd.isna(doc_id) else int(doc_id), ids, 0, len(ids))
             if packer.out:
                 yield _frame(packer.out, part)
