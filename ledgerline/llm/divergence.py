@@ -5,19 +5,21 @@ prefixed by their language, so each language keeps exactly its terms found in at
 ``min_df`` of its own documents (a term of two languages is two entries). Its model gives
 exact sparse count vectors per document. Group sums, as a Summarizer would take them but
 sparse: the (index, count) entries of every vector are flattened in Arrow batches and summed
-per (lang, source, index) with partial aggregation, so a hot source never meets one task with
-its documents, only with its terms.
+per (lang, source, index) inside each task (Arrow group-by) and again across tasks, so a hot source
+never meets one task with its documents, only with its terms.
 
 With V kept terms of a language, N the sum of a group's counts over them and c a term's count,
 p = 1 + floor(10^9 (c + 5) / (N + 5V)), exact (38-digit decimals, integer division). Part
-``pair``: for each other source of the language, the sum over all V terms of |p - q|, computed
-sparsely: terms in neither group contribute |z_a - z_b| each (z the value at count 0). Part
+``pair``: for each other source of the language, the sum over all V terms of |p - q|: the terms of a
+language are dealt into blocks, each block a dense sources x terms matrix in one task (absent counts
+take z, the value at count 0), summed over unordered pairs with numpy and then over blocks. Part
 ``term``: terms of the group with p above the language's p, the 50 largest differences.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
@@ -33,6 +35,8 @@ MIN_DF = 30
 SMOOTH = 5
 SCALE = 1_000_000_000
 TOP_TERMS = 50
+BLOCK_CELLS = 4_000_000  # sources x terms held by one task of the pair sums
+PAIR_WORK = 200_000_000  # differences one such task takes at most
 SEP = "\u0000"  # between language and term; terms never hold it
 EXACT = "decimal(38,0)"
 
@@ -42,25 +46,61 @@ def terms(text) -> F.Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERMS), 0)
 
 
+def _flat(b: pa.RecordBatch) -> pa.Table:
+    """(lang, source, idx, count) of one batch's sparse vectors, plus one marker (index -1, count 0) per document."""
+    vec = b.column("__vec")
+    idx, val = vec.field("indices"), vec.field("values")
+    parent = pc.list_parent_indices(val)
+    flat_val = pc.list_flatten(val)
+    flat_idx = pc.list_flatten(idx) if idx.null_count < len(idx) else None
+    if flat_idx is None or len(flat_idx) != len(flat_val):  # dense vectors: positions are the indices
+        starts = pc.list_value_length(val).to_numpy(zero_copy_only=False)
+        flat_idx = pa.array(np.concatenate([np.arange(s) for s in starts]) if len(starts) else [], pa.int32())
+    rows = b.num_rows
+    return pa.table(
+        [pa.concat_arrays([pc.take(b.column("__lang"), parent), b.column("__lang")]),
+         pa.concat_arrays([pc.take(b.column("__source"), parent), b.column("__source")]),
+         pa.concat_arrays([flat_idx.cast(pa.int32()), pa.array(np.full(rows, -1, dtype=np.int32))]),
+         pa.concat_arrays([pc.cast(flat_val, pa.int64()), pa.array(np.zeros(rows, dtype=np.int64))])],
+        names=["lang", "source", "idx", "c"])
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    return table.group_by(["lang", "source", "idx"]).aggregate([("c", "sum")]).rename_columns(["lang", "source", "idx", "c"])
+
+
 def _entries(batches):
-    """Flatten sparse vectors into (lang, source, idx, count) rows."""
+    """Each task's counts summed per (lang, source, idx) before they leave it: at most groups x terms rows a task."""
+    parts, size = [], 0
     for b in batches:
-        vec = b.column("__vec")
-        idx, val = vec.field("indices"), vec.field("values")
-        parent = pc.list_parent_indices(val)
-        flat_val = pc.list_flatten(val)
-        flat_idx = pc.list_flatten(idx) if idx.null_count < len(idx) else None
-        if flat_idx is None or len(flat_idx) != len(flat_val):  # dense vectors: positions are the indices
-            starts = pc.list_value_length(val).to_numpy(zero_copy_only=False)
-            flat_idx = pa.array(np.concatenate([np.arange(s) for s in starts]) if len(starts) else [], pa.int32())
-        # one marker (index -1, count 0) per document, so that groups without kept terms are seen too
-        rows = b.num_rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([pc.take(b.column("__lang"), parent), b.column("__lang")]),
-             pa.concat_arrays([pc.take(b.column("__source"), parent), b.column("__source")]),
-             pa.concat_arrays([flat_idx.cast(pa.int32()), pa.array(np.full(rows, -1, dtype=np.int32))]),
-             pa.concat_arrays([pc.cast(flat_val, pa.int64()), pa.array(np.zeros(rows, dtype=np.int64))])],
-            names=["lang", "source", "idx", "c"])
+        parts.append(_summed(_flat(b)))
+        size += parts[-1].num_rows
+        if len(parts) > 1 and size > 4 * max(parts[0].num_rows, 1):
+            parts, size = [_summed(pa.concat_tables(parts))], 0
+            size = parts[0].num_rows
+    if parts:
+        for batch in _summed(pa.concat_tables(parts)).to_batches():
+            yield batch
+
+
+def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Sum of |p_a - p_b| over this block's terms for every pair a < b of the language's sources.
+
+    Rows with idx -1 name every source and its value at count 0 (z); the others are the sparse entries.
+    """
+    heads = pdf[pdf["idx"] < 0].sort_values("source")
+    sources = heads["source"].tolist()
+    body = pdf[pdf["idx"] >= 0]
+    terms, col = np.unique(body["idx"].to_numpy(), return_inverse=True)
+    row = pd.Index(sources).get_indexer(body["source"])
+    P = np.repeat(heads["p"].to_numpy(dtype=np.int64)[:, None], len(terms), axis=1)
+    P[row, col] = body["p"].to_numpy(dtype=np.int64)
+    lang = pdf["lang"].iloc[0]
+    out = []
+    for i in range(len(sources) - 1):
+        diff = np.abs(P[i + 1:] - P[i]).sum(axis=1)
+        out += [(lang, sources[i], sources[j], int(diff[j - i - 1])) for j in range(i + 1, len(sources))]
+    return pd.DataFrame(out, columns=["lang", "a", "b", "near"])
 
 
 def _fit(prefixed: DataFrame, min_df: int):
@@ -87,7 +127,8 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS) -> D
         F.coalesce(F.col("source"), F.lit("")).alias("__source"))
     prefixed = docs.select("__lang", "__source", F.transform(terms(F.col("__text")), lambda w: F.concat(F.col("__lang"), F.lit(SEP), w)).alias("__terms"))
     spark = documents.sparkSession
-    model = _fit(prefixed, min_df)
+    # document frequencies need each document's distinct terms only
+    model = _fit(prefixed.select(F.array_distinct("__terms").alias("__terms")), min_df)
     vocabulary = model.vocabulary if model else []
     vocab = spark.createDataFrame([(i, *w.rsplit(SEP, 1)) for i, w in enumerate(vocabulary)], "idx int, lang string, term string")
     kept = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("nv"))
@@ -108,19 +149,20 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS) -> D
 
     # unordered pairs (a < b); the value is symmetric and is given to both sides below
     pairs = groups.alias("a").join(groups.alias("b"), "lang").where(F.col("a.source") < F.col("b.source")).select(
-        "lang", F.col("a.source").alias("a"), F.col("b.source").alias("b"), F.col("a.z").alias("za"),
-        F.col("b.z").alias("zb"), F.col("a.nv").alias("nv"))
-    side_a = entries.select("lang", F.col("source").alias("a"), "idx", F.col("p").alias("pa")).join(pairs.select("lang", "a", "b"), ["lang", "a"])
-    side_b = entries.select("lang", F.col("source").alias("b"), "idx", F.col("p").alias("pb")).join(pairs.select("lang", "a", "b"), ["lang", "b"])
-    shared = (side_a.join(side_b, ["lang", "a", "b", "idx"], "full")
-              .join(pairs.select("lang", "a", "b", "za", "zb"), ["lang", "a", "b"])
-              .groupBy("lang", "a", "b")
-              .agg(F.sum(F.abs(F.coalesce("pa", "za") - F.coalesce("pb", "zb"))).alias("near"), F.count(F.lit(1)).alias("seen")))
-    valued = (pairs.join(shared, ["lang", "a", "b"], "left")
-              .select("lang", "a", "b",
-                    F.when(F.col("nv") == 0, F.lit(0)).otherwise(
-                        F.coalesce("near", F.lit(0)) + (F.col("nv") - F.coalesce("seen", F.lit(0))) * F.abs(F.col("za") - F.col("zb"))
-                    ).cast("long").alias("value")))
+        "lang", F.col("a.source").alias("a"), F.col("b.source").alias("b"), F.col("a.nv").alias("nv"))
+    # Pair sums over terms in blocks: a task holds one block of a language's terms for all its sources,
+    # at most BLOCK_CELLS values and PAIR_WORK differences; absent terms take the source's z.
+    sizes = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("s"), F.max("nv").alias("nv"))
+    blocks = sizes.select("lang", F.greatest(
+        F.lit(1), F.ceil(F.col("nv") * F.col("s") / F.lit(BLOCK_CELLS)),
+        F.ceil(F.col("nv") * F.col("s") * F.col("s") / F.lit(PAIR_WORK))).cast("int").alias("nb"))
+    cells = entries.join(blocks, "lang").select("lang", F.pmod("idx", "nb").alias("block"), "source", "idx", "p")
+    heads = groups.where(F.col("nv") > 0).join(blocks, "lang").select(
+        "lang", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("block"), "source", F.lit(-1).alias("idx"), F.col("z").alias("p"))
+    near = (cells.unionByName(heads).groupBy("lang", "block").applyInPandas(_block_pairs, "lang string, a string, b string, near long")
+            .groupBy("lang", "a", "b").agg(F.sum("near").alias("near")))
+    valued = pairs.join(near, ["lang", "a", "b"], "left").select(
+        "lang", "a", "b", F.when(F.col("nv") == 0, F.lit(0)).otherwise(F.coalesce("near", F.lit(0))).cast("long").alias("value"))
     pair = valued.select("lang", F.col("a").alias("source"), F.lit("pair").alias("part"), F.col("b").alias("item"), "value").unionByName(
         valued.select("lang", F.col("b").alias("source"), F.lit("pair").alias("part"), F.col("a").alias("item"), "value"))
 

@@ -214,3 +214,15 @@ def test_packer_best_fit_and_cut():
     # 7 fits nowhere and no window is free: the fullest takes a cut of 4 and goes; the rest is left over with its ids
     assert [(r[0], r[1], r[2], r[5], r[6]) for r in q.out] == [(1, 0, 6, 0, 0), (2, 0, 4, 0, 6), (2, 4, 3, None, None)]
     assert list(q.out[-1][9]) == [4, 5, 6]
+
+
+def test_segmented_encoding_equals_whole(monkeypatch):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(queries.tokenizer_path())
+    monkeypatch.setattr(onlinepack, "SEGMENT", 64)
+    texts = ["", "word " * 500, "a  b\n\n c " * 100, "z" * 5000, "a<|endoftext|>b " * 40, "short"]
+    got = list(onlinepack.encoded(tok, texts))
+    want = [np.array(tok.encode(t, add_special_tokens=False).ids + [0], dtype=np.uint32) for t in texts]
+    assert len(got) == len(want) and all(np.array_equal(g, w) for g, w in zip(got, want))
+    assert len(onlinepack.segments("word " * 500, 64)) > 1 and onlinepack.segments("z" * 5000, 64) == ["z" * 5000]
