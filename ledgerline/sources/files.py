@@ -18,13 +18,19 @@ def read_snapshot(
     return spark.read.format(fmt).load(f"{root.rstrip('/')}/{table}/{date}/*.{fmt}")
 
 
-def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+def read_lines(spark: SparkSession, path: str, encoding: str = "UTF-8", min_partitions: int | None = None) -> DataFrame:
     """Text lines as ``value``, decoded from ``encoding``; plain or gzipped files.
 
     The text source hands the bytes of each line on untouched, so decoding them
-    is a column expression and plain files stay splittable.
+    is a column expression and plain files stay splittable. A gzipped file is one
+    task, whatever its size: with ``min_partitions`` the raw lines of a read with
+    fewer partitions are dealt round-robin over that many before they are decoded,
+    so decoding and all later work use as many tasks. Line order is then not kept;
+    rule files, whose first line is the header, are read without it.
     """
     lines = spark.read.option("lineSep", "\n").text(path)
+    if min_partitions and lines.rdd.getNumPartitions() < min_partitions:
+        lines = lines.repartition(min_partitions)
     if encoding.upper() in ("UTF-8", "UTF8"):
         return lines
     return lines.select(F.decode(F.col("value").cast("binary"), encoding.upper()).alias("value"))

@@ -4,6 +4,8 @@ import pytest
 
 from ledgerline import layouts
 from ledgerline.sources import fixedwidth
+from pyspark.sql import functions as F
+
 from ledgerline.sources.files import read_lines, read_rules, read_snapshot
 
 
@@ -21,6 +23,21 @@ def test_latin1_lines_plain_and_gzip(spark, tmp_path, rows):
         assert rows(read_lines(spark, str(tmp_path / name), "ISO-8859-1")) == want
 
 
+def test_gzip_lines_spread_before_decoding(spark, tmp_path, rows):
+    """A gzipped file of non-ASCII lines is one split; with min_partitions it feeds that many tasks, all lines kept."""
+    import gzip
+
+    want = [(f"ção {i} é",) for i in range(20_000)]
+    with gzip.open(tmp_path / "big.txt.gz", "wb") as f:
+        f.write("\n".join(v for (v,) in want).encode("latin-1"))
+    plain = read_lines(spark, str(tmp_path / "big.txt.gz"), "ISO-8859-1")
+    spread = read_lines(spark, str(tmp_path / "big.txt.gz"), "ISO-8859-1", min_partitions=8)
+    assert plain.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() == 8
+    counts = spread.groupBy(F.spark_partition_id()).count().collect()
+    assert len(counts) == 8 and max(r["count"] for r in counts) <= 2 * min(r["count"] for r in counts)
+    assert rows(spread) == sorted(want, key=repr)
+
+
 def test_utf8_lines(spark, tmp_path, rows):
     (tmp_path / "u.txt").write_text("BP – linha\n", encoding="utf-8")
     assert rows(read_lines(spark, str(tmp_path / "u.txt"))) == [("BP – linha",)]
