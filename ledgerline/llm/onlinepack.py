@@ -13,13 +13,15 @@ checksums), are packed the same way, and leave at most ``windows`` sequences to
 until one group remains, whose open sequences are emitted as they are (the only padding).
 Stage outputs are written to the shared folder, so a lost executor repeats only its tasks.
 
-A document's ids: the tokenizer file's own library (``tokenizers``), no special tokens added,
-then ``END_ID``. Null text counts as empty (one id).
+A document's ids: those of the tokenizer file's own library (``tokenizers``), no special tokens
+added, then ``END_ID``; computed by tiktoken over the same vocabulary where that gives the same ids
+(see :class:`Encoder`). Null text counts as empty (one id).
 """
 
 from __future__ import annotations
 
 import math
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -129,36 +131,66 @@ def segments(text: str, size: int = SEGMENT) -> list[str]:
 
 
 _END = np.array([END_ID], dtype=np.uint32)
+_LONG_RUN = re.compile(r"\S{10000}|\s{10000}")  # such runs go to the file's own library, which handles them
 
 
-def _many(tok, texts: list[str]) -> Iterator[np.ndarray]:
-    for enc in tok.encode_batch(texts, add_special_tokens=False):
-        yield np.concatenate([np.asarray(enc.ids, dtype=np.uint32), _END])
+class Encoder:
+    """The ids the tokenizer file's library gives (no special tokens added), mostly by a faster encoder.
 
+    The file's added tokens are cut out first and take their own ids, as the library does; the text
+    between them is encoded by tiktoken over the same vocabulary (its ``.tiktoken`` ranks and word
+    pattern). A text holding a run of 10,000 blanks or non-blanks is encoded by the library itself,
+    in segments. ``tests/llm`` compares both on whole tables and on odd texts.
+    """
+
+    def __init__(self, path: str):
+        import base64
+        import json
 
-def encoded(tok, texts: list[str]) -> Iterator[np.ndarray]:
-    """Ids of each text, then END_ID, in order; at most about SEGMENT characters are encoded at once."""
-    held, size = [], 0
-    for text in texts:
-        if len(text) >= SEGMENT:
-            yield from _many(tok, held)
-            held, size = [], 0
-            parts = [np.asarray(tok.encode(piece, add_special_tokens=False).ids, dtype=np.uint32) for piece in segments(text)]
+        import tiktoken
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        added = {t["content"]: t["id"] for t in json.load(open(path, encoding="utf-8")).get("added_tokens", [])}
+        ranks_path = re.sub(r"\.json$", ".tiktoken", path)
+        self.fast = None  # without the ranks beside the file, the library encodes everything
+        if os.path.exists(ranks_path):
+            import public_tokenizers
+
+            with open(ranks_path, "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
+            self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.added = added
+        self.split = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
+
+    def _fast(self, text: str) -> list[int]:
+        if self.split is None:
+            return self.fast.encode_ordinary(text)
+        out: list[int] = []
+        for i, part in enumerate(self.split.split(text)):
+            if i % 2:
+                out.append(self.added[part])
+            elif part:
+                out += self.fast.encode_ordinary(part)
+        return out
+
+    def __call__(self, texts: list[str]) -> Iterator[np.ndarray]:
+        for text in texts:
+            if self.fast is None or _LONG_RUN.search(text):
+                parts = [np.asarray(self.library.encode(p, add_special_tokens=False).ids, dtype=np.uint32) for p in segments(text)]
+            else:
+                parts = [np.asarray(self._fast(text), dtype=np.uint32)]
             yield np.concatenate([*parts, _END])
-            continue
-        held.append(text)
-        size += len(text)
-        if size >= SEGMENT:
-            yield from _many(tok, held)
-            held, size = [], 0
-    yield from _many(tok, held)
+
+
+def encoded(tok: Encoder, texts: list[str]) -> Iterator[np.ndarray]:
+    """Ids of each text, then END_ID, in order."""
+    return tok(texts)
 
 
 def _first_level(path: str, length: int, windows: int, final: bool):
     def pack(batches):
-        from tokenizers import Tokenizer
-
-        tok = Tokenizer.from_file(path)
+        tok = Encoder(path)
         part = TaskContext.get().partitionId()
         packer = Packer(length, windows, part << GROUP_BITS)
         for pdf in batches:

@@ -13,6 +13,12 @@ from ledgerline.llm import divergence, onlinepack, queries, whitening
 SF = "/root/testdata/sf0.001"
 
 
+def _doc_rows():
+    import pyarrow.parquet as pq
+
+    return [type("R", (), {"text": t}) for t in pq.read_table(f"{SF}/documents.parquet", columns=["text"]).column("text").to_pylist()]
+
+
 # ---- op11: whitening ---------------------------------------------------------------------------
 
 def brute_whiten(rows, k=8):
@@ -216,13 +222,17 @@ def test_packer_best_fit_and_cut():
     assert list(q.out[-1][9]) == [4, 5, 6]
 
 
-def test_segmented_encoding_equals_whole(monkeypatch):
+def test_fast_and_segmented_encoding_equal_the_library(monkeypatch):
     from tokenizers import Tokenizer
 
-    tok = Tokenizer.from_file(queries.tokenizer_path())
+    library = Tokenizer.from_file(queries.tokenizer_path())
+    texts = ["", "word " * 500, "a  b\n\n c " * 100, "z" * 5000, "a<|endoftext|>b " * 40, "<|endoftext|>", "short",
+             " " * 20_000, "\r\n\t é ü 中文 🙂 's 've'll", *[r.text or "" for r in _doc_rows()]]
+    want = [np.array(library.encode(t, add_special_tokens=False).ids + [0], dtype=np.uint32) for t in texts]
+    fast = onlinepack.Encoder(queries.tokenizer_path())
+    assert all(np.array_equal(g, w) for g, w in zip(onlinepack.encoded(fast, texts), want))
+    # the library's path, in small segments: every text with a run of 50 goes there
     monkeypatch.setattr(onlinepack, "SEGMENT", 64)
-    texts = ["", "word " * 500, "a  b\n\n c " * 100, "z" * 5000, "a<|endoftext|>b " * 40, "short"]
-    got = list(onlinepack.encoded(tok, texts))
-    want = [np.array(tok.encode(t, add_special_tokens=False).ids + [0], dtype=np.uint32) for t in texts]
-    assert len(got) == len(want) and all(np.array_equal(g, w) for g, w in zip(got, want))
+    monkeypatch.setattr(onlinepack, "_LONG_RUN", re.compile(r"\S{50}|\s{50}|word"))
+    assert all(np.array_equal(g, w) for g, w in zip(onlinepack.encoded(fast, texts), want))
     assert len(onlinepack.segments("word " * 500, 64)) > 1 and onlinepack.segments("z" * 5000, 64) == ["z" * 5000]
