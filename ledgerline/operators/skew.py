@@ -16,9 +16,12 @@ from collections import defaultdict
 from collections.abc import Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.operators.lineage import stage
+
 _TRACKED = 10_000, 1_000_000  # least and most items in the sketch; counts are off by 3.5 rows in so many
 
 SPREAD = "__spread"
@@ -46,12 +49,19 @@ class HotKeys(NamedTuple):
 
 
 def with_spread(df: DataFrame) -> DataFrame:
-    """Add a row number to salt by. Put it right on a file scan.
+    """Add a number to salt by: a hash of the row's file and its place in the file.
 
-    Content hashes would send copies of a row to one salt; this does not. Over
-    a file scan the numbers are the same when a lost task runs again.
+    Content hashes would send copies of a row to one salt; this does not, and as it comes
+    from the scan itself, a lost task run again, or a shuffle before the join, gives every
+    row the same number. It needs a frame that still sees its parquet scan's ``_metadata``
+    (a scan, filtered or not); any other frame is first written to the shared folder and
+    read back, so that its rows have a file and a place too.
     """
-    return df.withColumn(SPREAD, F.monotonically_increasing_id())
+    place = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index"))
+    try:
+        return df.withColumn(SPREAD, place)
+    except AnalysisException:
+        return stage(df, "spread").withColumn(SPREAD, place)
 
 
 def _hash(columns: Sequence[Column]) -> Column:

@@ -182,3 +182,15 @@ def test_group_sum_with_copies(spark, rows):
     df = spark.createDataFrame([("a", Decimal("1.50"), 3), ("a", None, 9), ("b", None, 2)], "k string, m decimal(10,2), n bigint")
     assert rows(rollup.group_sum(df, ["k"], ["m"], "n")) == [("a", Decimal("4.50")), ("b", None)]
     assert rows(rollup.group_sum(df, ["k"], ["m"])) == [("a", Decimal("1.50")), ("b", None)]
+
+
+def test_spread_comes_from_file_positions(spark, tmp_path):
+    """Salts are a hash of file and row index: the same on every evaluation; other frames are stored first."""
+    path = str(tmp_path / "t")
+    spark.range(1000).repartition(4).write.parquet(path)
+    scan = spark.read.parquet(path)
+    first = sorted(tuple(r) for r in with_spread(scan.where("id % 2 = 0")).collect())
+    again = sorted(tuple(r) for r in with_spread(scan.where("id % 2 = 0")).collect())
+    assert first == again and len({r[1] for r in first}) == len(first) == 500
+    shuffled = with_spread(scan.repartition(7))  # a shuffle output has no file positions: it is stored and read back
+    assert shuffled.count() == 1000 and shuffled.select("__spread").distinct().count() == 1000
