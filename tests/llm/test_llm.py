@@ -148,6 +148,13 @@ def test_pii_base(spark, docs):
     assert got == sorted(want)
 
 
+def test_pii_query_counts(spark, tmp_path):
+    rows = [(1, "a@b.cc d@e.ff g@h.ii"), (2, "4111 1111 1111 1111, +1 (988) 555-2485, +1 (988) 555-2486"), (3, "1.2.3.4 and 5.6.7.8"), (4, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op3_pii(spark, str(tmp_path)).select("doc_id", *[f"n_{k}" for k in pii.KINDS]).collect()
+    assert sorted(map(tuple, found)) == [(1, 3, 0, 0, 0), (2, 0, 0, 1, 2), (3, 0, 2, 0, 0), (4, 0, 0, 0, 0)]
+
+
 def test_pii_learns_contexts(spark):
     rows = [(i, f"word before telephone: +1 (988) 555-{2000 + i} thanks and more") for i in range(30)]
     rows += [(100, "please telephone: 988-555-7777 thanks"), (101, "the sum of 1234567 things")]
