@@ -9,6 +9,7 @@ from ledgerline.operators.joins import lookup, measured_bytes
 from ledgerline.operators.override import any_key_override
 from ledgerline.operators.relabel import relabel
 from ledgerline.operators.skew import hot_keys, salted_join, with_spread
+from ledgerline.plans import tables
 
 
 @pytest.fixture
@@ -194,3 +195,22 @@ def test_spread_comes_from_file_positions(spark, tmp_path):
     assert first == again and len({r[1] for r in first}) == len(first) == 500
     shuffled = with_spread(scan.repartition(7))  # a shuffle output has no file positions: it is stored and read back
     assert shuffled.count() == 1000 and shuffled.select("__spread").distinct().count() == 1000
+
+
+def test_equal_sign_rules_are_counted(spark, rows):
+    rules = [("A", "L", "-1")] * 3 + [("A", "L", "2"), ("A", "L", None), ("A", "L", None), (None, "L", "1")]
+    found = tables.sign_factors(spark.createDataFrame(
+        rules, "Conceito_Contabil string, Balanco_LDN_Nivel_3 string, Criterio_de_Sinais string"))
+    want = [("A", "L", "-1", 3), ("A", "L", "2", 1), ("A", "L", None, 2), (None, "L", "1", 1)]
+    assert rows(found) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("dtype", ["decimal(35,14)", "decimal(37,20)", "decimal(12,2)", "bigint"])
+def test_exact_group_sum_equals_the_sum_of_repeated_rows(spark, dtype):
+    rnd = random.Random(5)
+    data = [(i % 3, str(rnd.randrange(-10**9, 10**9)) + ("" if dtype == "bigint" else ".12345678901234567"[:rnd.randrange(3, 17)]),
+             rnd.randrange(1, 200)) for i in range(300)] + [(0, None, 7), (3, None, 2)]
+    df = spark.createDataFrame(data, "k int, m string, n bigint").withColumn("m", F.expr(f"cast(m as {dtype})"))
+    repeated = df.withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).groupBy("k").agg(F.sum("m").alias("m"))
+    got = {r.k: r.m for r in rollup.exact_group_sum(df, ["k"], ["m"], "n").collect()}
+    assert got == {r.k: r.m for r in repeated.collect()}
