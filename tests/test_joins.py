@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import measures, rollup
 from ledgerline.operators.joins import lookup, measured_bytes
-from ledgerline.operators.override import any_key_override
+from ledgerline.operators.override import any_key_override, rule_hits
 from ledgerline.operators.relabel import relabel
 from ledgerline.operators.skew import hot_keys, salted_join, with_spread
 from ledgerline.plans import tables
@@ -214,3 +214,10 @@ def test_exact_group_sum_equals_the_sum_of_repeated_rows(spark, dtype):
     repeated = df.withColumn("i", F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).groupBy("k").agg(F.sum("m").alias("m"))
     got = {r.k: r.m for r in rollup.exact_group_sum(df, ["k"], ["m"], "n").collect()}
     assert got == {r.k: r.m for r in repeated.collect()}
+
+
+def test_rule_hits_take_repeated_combinations(spark, rows):
+    rules = spark.createDataFrame([("a", None, 1), ("a", "x", 1), (None, "y", 2)], "rk string, rl string, v int")
+    combos = spark.createDataFrame([("a", "x")] * 50 + [("b", "y")] * 3 + [("b", "z"), (None, None)], "k string, l string")
+    found = rule_hits(combos, rules, {"k": "rk", "l": "rl"}, ["v"])
+    assert rows(found.select("k", "l", "v", F.col("hits").cast("int"))) == [("a", "x", 1, 2), ("b", "y", 2, 1)]
