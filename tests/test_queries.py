@@ -43,5 +43,25 @@ def test_query_equals_sql(spark, duck, name):
     assert got
 
 
+def test_lookup_left_runs_no_sketch_over_joined_rows(spark, monkeypatch):
+    from checks import queries
+    from ledgerline.operators import joins, skew
+
+    looked_at = []
+    real = skew.hot_keys
+
+    def seen(df, *args, **kwargs):
+        looked_at.append(df.columns)
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(skew, "hot_keys", seen)
+    monkeypatch.setattr(queries, "hot_keys", seen, raising=False)
+    # all lookup tables are beyond the limit
+    monkeypatch.setitem(joins.lookup.__kwdefaults__, "limit", 0)
+    monkeypatch.setattr(queries, "BROADCAST_BYTES", 0, raising=False)
+    QUERIES["lookup_left"](spark, SF_DIR)
+    assert len(looked_at) == 1 and "cod_cartera_gestion" not in looked_at[0]
+
+
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
