@@ -243,6 +243,25 @@ def test_line_dedup(docs):
     assert out.columns == docs.columns and out.count() == docs.count()
 
 
+@pytest.mark.parametrize("tile", [linededup.TILE, 7])
+def test_line_dedup_crowded_bands(spark, tile):
+    """All pairs of a crowded band are compared: templates share bands, and only some of their lines are similar."""
+    words = [f"{chr(97 + k % 26)}{k * 7919 % 1000:03d}" for k in range(400)]
+    rows = []
+    for i in range(90):  # one long common head; the tails fall into 30 groups of three that lie far apart in any order
+        tail = [words[(i % 30 * 13 + k) % 400] for k in range(24)]
+        tail[i // 30] = f"slot{i:03d}"
+        rows.append((i, "the same opening words of every line here " + " ".join(tail)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lines = {r.hash: r.line for r in linededup.lines(docs).collect()}
+    sets = [(h, {x[i : i + 5] for i in range(len(x) - 4)}) for h, x in lines.items()]
+    share = {h: set(r) for h, r in linededup.lines(docs).select("hash", linededup.signature(F.col("line"))).collect()}
+    want = {(min(a, b), max(a, b)) for k, (a, s) in enumerate(sets) for b, t in sets[:k]
+            if share[a] & share[b] and len(s & t) >= 0.8 * len(s | t)}
+    got = linededup.similar_lines(docs, band=2, tile=tile).collect()
+    assert want and sorted(tuple(r) for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("bucket", [simhash.BUCKET, 1])
 def test_simhash(docs, texts, bucket):
     rows = simhash.near_duplicates(docs, bucket=bucket).collect()
