@@ -16,8 +16,9 @@ broadcast; each block scans the documents.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -58,8 +59,15 @@ class Block:
     items: list[Item]
 
     def numbers(self, text: str) -> np.ndarray:
-        known, size = self.vocabulary.get, len(self.vocabulary)
-        return np.array([known(w, size) for w in words(text)], np.int64)  # size: not a benchmark word
+        return self._numbers(words(text))
+
+    def distinct(self, text: str) -> np.ndarray:
+        """Like :meth:`numbers`, of the different words, in no order."""
+        return self._numbers(set(words(text)))
+
+    def _numbers(self, found: Collection[bytes]) -> np.ndarray:
+        size = len(self.vocabulary)  # not a benchmark word
+        return np.fromiter(map(self.vocabulary.get, found, repeat(size)), np.int64, len(found))
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[Block]:
@@ -99,7 +107,7 @@ def frequencies(docs: DataFrame, block: Block) -> tuple[np.ndarray, int]:
         seen, rows = np.zeros(size + 1, np.int64), 0
         for batch in batches:
             for _, text in _texts(batch):
-                seen[np.unique(shared.value.numbers(text))] += 1
+                seen[shared.value.distinct(text)] += 1  # once a word: equal numbers do not add up
                 rows += 1
         seen[size] = rows
         at = np.flatnonzero(seen)
@@ -140,33 +148,33 @@ def _covariance_times(docs: DataFrame, block: Block, weight: np.ndarray, right:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, w, r = shared.value
         total = np.zeros((size + 1, width))
-        rows, at, n = [], [], 0
+        rows, at, n, chunk = [], [], 0, 0
 
         def add() -> None:
-            flat, starts = np.concatenate(rows), np.concatenate(at)
+            flat, of = np.concatenate(rows), np.concatenate(at)
             x = w[flat]
-            norm = np.sqrt(np.maximum(np.add.reduceat(x * x, starts), 1e-30))
-            x = x / np.repeat(norm, np.diff(np.append(starts, len(flat))))
-            used = x > 0
-            y = np.add.reduceat(r[flat] * x[:, None].astype(np.float32), starts)
+            used = np.flatnonzero(x > 0)  # the others add nothing; most words are such
+            if not len(used):
+                return
+            flat, of, x = flat[used], of[used], x[used]
+            starts = np.flatnonzero(np.diff(of, prepend=-1))
             of = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(flat))))
+            x = (x / np.sqrt(np.add.reduceat(x * x, starts))[of])[:, None].astype(np.float32)
+            y = np.add.reduceat(r[flat] * x, starts)
             order = np.argsort(flat, kind="stable")
-            order = order[x[order] > 0]
-            if len(order):
-                sums = y[of[order]] * x[order, None].astype(np.float32)
-                first = np.flatnonzero(np.diff(flat[order], prepend=-1))
-                total[flat[order][first]] += np.add.reduceat(sums, first)
+            first = np.flatnonzero(np.diff(flat[order], prepend=-1))
+            total[flat[order][first]] += np.add.reduceat(y[of[order]] * x[order], first)
 
         for batch in batches:
             for _, text in _texts(batch):
                 numbers = own.numbers(text)
                 if len(numbers):
                     rows.append(numbers)
-                    at.append(chunks(numbers) + n)
-                    n += len(numbers)
+                    at.append(chunk + np.arange(len(numbers)) // STEP)
+                    n, chunk = n + len(numbers), int(at[-1][-1]) + 1
                 if n > 20_000:
                     add()
-                    rows, at, n = [], [], 0
+                    rows, at, n, chunk = [], [], 0, 0
         if n:
             add()
         seen = np.flatnonzero(np.abs(total[:-1]).sum(1) > 0)
@@ -223,6 +231,7 @@ class Checker:
         distinct, counts = np.unique(item.words, return_counts=True)
         self.place = np.full(size + 1, len(distinct), np.int32)
         self.place[distinct] = np.arange(len(distinct))
+        self.own = self.place < len(distinct)
         self.counts = counts
         self.masks = places(item.words)
         self.length = max(int(STRETCH * len(item.words)), len(item.words) + 3)
@@ -233,6 +242,8 @@ class Checker:
         size = len(self.item.words)
         first = max(near - self.length, 0)
         region = numbers[first : near + 2 * STEP + self.length]
+        if np.count_nonzero(self.own[region]) < overlap * size:
+            return 0.0  # the most there is to find; told without counts of each word
         have = np.bincount(self.place[region], minlength=len(self.counts) + 1)[:-1]
         if np.minimum(have, self.counts).sum() < overlap * size:
             return 0.0
@@ -249,11 +260,22 @@ class Checker:
         return best / size
 
 
-def matches(numbers: np.ndarray, block: Block, checkers: dict[int, Checker], table: np.ndarray, latent_items: np.ndarray, cosine: float, overlap: float) -> list[tuple[int, int, float, float]]:
+def passages(numbers: np.ndarray, table: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Latent vectors of a text's passages; only words that are ``used`` have a row in ``table`` that is not zero."""
+    z = np.zeros((len(chunks(numbers)), table.shape[1]), table.dtype)
+    places = np.flatnonzero(used[numbers])
+    if len(places):
+        chunk = places // STEP
+        first = np.flatnonzero(np.diff(chunk, prepend=-1))
+        z[chunk[first]] = np.add.reduceat(table[numbers[places]], first)
+    z[:-1] += z[1:].copy()  # a passage is a chunk and the next
+    return z
+
+
+def matches(numbers: np.ndarray, block: Block, checkers: dict[int, Checker], table: np.ndarray, used: np.ndarray, latent_items: np.ndarray, cosine: float, overlap: float) -> list[tuple[int, int, float, float]]:
     """``item_id, first word of the passage, cosine, share`` of the items found in a text."""
     at = chunks(numbers)
-    z = np.add.reduceat(table[numbers], at)
-    z[:-1] += z[1:].copy()  # a passage is a chunk and the next
+    z = passages(numbers, table, used)
     norm = np.sqrt((z * z).sum(1))
     near = (z / np.where(norm > 1e-9, norm, 1)[:, None]) @ latent_items.T
     best: dict[int, tuple[int, int, float, float]] = {}
@@ -289,7 +311,7 @@ def find(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, overlap:
         items = item_rows(block, weight) @ basis
         items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-9)
         table = np.vstack((weight[:-1, None] * basis, np.zeros(basis.shape[1]))).astype(np.float32)
-        shared = docs.sparkSession.sparkContext.broadcast((block, table, items.astype(np.float32)))
+        shared = docs.sparkSession.sparkContext.broadcast((block, table, weight > 0, items.astype(np.float32)))
         parts.append(rows.mapInArrow(_search(shared, cosine, overlap), schema))
     out = parts[0] if parts else docs.sparkSession.createDataFrame([], schema)
     for part in parts[1:]:
@@ -299,14 +321,14 @@ def find(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, overlap:
 
 def _search(shared, cosine: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, table, items = shared.value
+        block, table, used, items = shared.value
         checkers: dict[int, Checker] = {}
         for batch in batches:
             found = []
             for i, text in _texts(batch):
                 numbers = block.numbers(text)
                 if len(numbers):
-                    found += [(i, *m) for m in matches(numbers, block, checkers, table, items, cosine, overlap)]
+                    found += [(i, *m) for m in matches(numbers, block, checkers, table, used, items, cosine, overlap)]
             of, item, word, near, share = zip(*found) if found else [()] * 5
             ids = batch.column("doc_id").take(pa.array(of, pa.int64()))
             values = [ids, pa.array(item, pa.int64()), pa.array(word, pa.int64()), pa.array(near, pa.float64()), pa.array(share, pa.float64())]

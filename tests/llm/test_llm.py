@@ -83,6 +83,20 @@ def test_answers_count(spark):
     assert got == {(1, 1), (1, 2), (2, 2)}
 
 
+def test_passages_read_used_words_only():
+    rng = np.random.default_rng(3)
+    used = rng.random(41) < 0.2
+    used[40] = False
+    table = np.where(used[:, None], rng.integers(-9, 9, (41, 4)), 0).astype(np.float32)
+    unread = np.where(used[:, None], table, np.nan).astype(np.float32)  # a gather of every word would bring these in
+    for n in (1, decontaminate.STEP, decontaminate.STEP + 1, 500):
+        numbers = rng.integers(0, 41, n)
+        starts = range(0, n, decontaminate.STEP)
+        want = [table[numbers[s : s + 2 * decontaminate.STEP]].sum(0) for s in starts]
+        assert np.array_equal(decontaminate.passages(numbers, unread, used), np.array(want))
+    assert not decontaminate.passages(np.full(60, 40), unread, used).any()
+
+
 def test_suffix_arrays():
     rng = random.Random(1)
     for _ in range(60):
