@@ -3,10 +3,11 @@
 Vocabularies: one CountVectorizer (minDF a count, vocabSize the largest integer) over terms
 prefixed by their language, so each language keeps exactly its terms found in at least
 ``min_df`` of its own documents (a term of two languages is two entries). Its model gives
-exact sparse count vectors per document. Group sums, as a Summarizer would take them but
-sparse: the (index, count) entries of every vector are flattened in Arrow batches and summed
-per (lang, source, index) inside each task (Arrow group-by) and again across tasks, so a hot source
-never meets one task with its documents, only with its terms.
+exact sparse count vectors. Texts are cut into terms in Arrow batches, as bytes. Counts add up, so a
+task first counts the terms of each group's documents and hands the model one row per group and
+binary digit of the counts, holding the terms with that digit set. Group sums, as a Summarizer would
+take them but sparse: the (index, count) entries of every vector, times the row's digit, are summed per
+(lang, source, index) inside each Arrow task (numpy) and again across tasks, so a hot source never meets one task with its documents, only with its terms.
 
 With V kept terms of a language, N the sum of a group's counts over them and c a term's count,
 p = 1 + floor(10^9 (c + 5) / (N + 5V)), exact (38-digit decimals, integer division). Part
@@ -18,10 +19,12 @@ take z, the value at count 0), summed over unordered pairs with numpy and then o
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.ml.feature import CountVectorizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,48 +42,116 @@ BLOCK_CELLS = 4_000_000  # sources x terms held by one task of the pair sums
 PAIR_WORK = 200_000_000  # differences one such task takes at most
 SEP = "\u0000"  # between language and term; terms never hold it
 EXACT = "decimal(38,0)"
+HELD = 100_000  # terms a task holds before it hands them on
+SUMMED = 2_000_000  # summed counts a task holds before it hands them on
+# What TERMS and the lower-casing say, byte by byte: all bytes it excludes are ASCII.
+_TERM_BYTES = bytes(b | 32 if chr(b) in UPPER else b if chr(b) in LOWER or b >= 128 else 32 for b in range(256))
+
+
+def terms(text: bytes) -> list[bytes]:
+    """The terms of a text in UTF-8, A-Z lower-cased (no other letter changes)."""
+    return text.translate(_TERM_BYTES).split()
+
+
+def _rows(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, str, list[bytes]]]:
+    for b in batches:
+        langs, sources = (b.column(c).to_pylist() for c in ("__lang", "__source"))
+        for lang, source, text in zip(langs, sources, b.column("__text").cast(pa.binary())):
+            yield lang, source, terms(text.as_py())
+
+
+def _prefixed(lang: str, found: Iterable[bytes]) -> list[bytes]:
+    head = (lang + SEP).encode()
+    return [head + w for w in found]
+
+
+def _lists(flat: pa.Array, sizes: list[int]) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat)
+
+
+def _distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``__terms``: each document's different terms."""
+    flat, sizes = [], []
+
+    def rows() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([_lists(pa.array(flat, pa.string()), sizes)], ["__terms"])
+
+    for lang, _, found in _rows(batches):
+        different = set(found)
+        flat += _prefixed(lang, different)
+        sizes.append(len(different))
+        if len(flat) + len(sizes) >= HELD:
+            yield rows()
+            flat, sizes = [], []
+    if sizes:
+        yield rows()
+
+
+def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``__lang, __source, __digit, __terms``: the terms whose count in a group's documents, as far as
+    this task holds them, has the binary digit ``__digit`` (a power of two) set. Every group has a row."""
+    groups: dict[tuple[str, str], Counter] = {}
+    held = 0
 
+    def rows() -> Iterator[pa.RecordBatch]:
+        for (lang, source), counts in groups.items():
+            count = np.fromiter(counts.values(), np.int64, len(counts))
+            flat = pa.array(_prefixed(lang, counts), pa.string())
+            digits = [1 << k for k in range(max(int(count.max(initial=1)).bit_length(), 1))]
+            at = [np.flatnonzero(count & d) for d in digits]
+            values = [pa.array([lang] * len(at)), pa.array([source] * len(at)), pa.array(digits, pa.int64()), _lists(flat.take(pa.array(np.concatenate(at))), [len(a) for a in at])]
+            yield pa.RecordBatch.from_arrays(values, ["__lang", "__source", "__digit", "__terms"])
 
-def terms(text) -> F.Column:
-    """The terms of a text, A-Z lower-cased (no other letter changes)."""
-    return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(TERMS), 0)
+    for lang, source, found in _rows(batches):
+        counts = groups.setdefault((lang, source), Counter())
+        held -= len(counts)
+        counts.update(found)
+        held += len(counts)
+        if held + len(groups) >= HELD:
+            yield from rows()
+            groups, held = {}, 0
+    yield from rows()
 
 
-def _flat(b: pa.RecordBatch) -> pa.Table:
-    """(lang, source, idx, count) of one batch's sparse vectors, plus one marker (index -1, count 0) per document."""
-    vec = b.column("__vec")
-    idx, val = vec.field("indices"), vec.field("values")
-    parent = pc.list_parent_indices(val)
-    flat_val = pc.list_flatten(val)
-    flat_idx = pc.list_flatten(idx) if idx.null_count < len(idx) else None
-    if flat_idx is None or len(flat_idx) != len(flat_val):  # dense vectors: positions are the indices
-        starts = pc.list_value_length(val).to_numpy(zero_copy_only=False)
-        flat_idx = pa.array(np.concatenate([np.arange(s) for s in starts]) if len(starts) else [], pa.int32())
-    rows = b.num_rows
-    return pa.table(
-        [pa.concat_arrays([pc.take(b.column("__lang"), parent), b.column("__lang")]),
-         pa.concat_arrays([pc.take(b.column("__source"), parent), b.column("__source")]),
-         pa.concat_arrays([flat_idx.cast(pa.int32()), pa.array(np.full(rows, -1, dtype=np.int32))]),
-         pa.concat_arrays([pc.cast(flat_val, pa.int64()), pa.array(np.zeros(rows, dtype=np.int64))])],
-        names=["lang", "source", "idx", "c"])
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[first], np.add.reduceat(counts, first)
 
 
-def _summed(table: pa.Table) -> pa.Table:
-    return table.group_by(["lang", "source", "idx"]).aggregate([("c", "sum")]).rename_columns(["lang", "source", "idx", "c"])
+def _entries(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each task's counts summed per (lang, source, idx) before they leave it, as far as it holds them (``SUMMED``
+    rows and what came since), plus one row (index -1, count 0) per group."""
+    numbers: dict[tuple[str, str], int] = {}  # a group's place here, in the upper half of a key; the lower is 1 + idx
+    keys, counts, size, least = [], [], 0, 0
 
+    def rows(key: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+        langs, sources = (pa.array(v, pa.string()) for v in zip(*numbers))
+        for k in range(0, len(key), HELD):
+            of = pa.array(key[k : k + HELD] >> 32)
+            idx = pa.array(((key[k : k + HELD] & 0xFFFFFFFF) - 1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([langs.take(of), sources.take(of), idx, pa.array(count[k : k + HELD])], ["lang", "source", "idx", "c"])
 
-def _entries(batches):
-    """Each task's counts summed per (lang, source, idx) before they leave it: at most groups x terms rows a task."""
-    parts, size = [], 0
     for b in batches:
-        parts.append(_summed(_flat(b)))
-        size += parts[-1].num_rows
-        if len(parts) > 1 and size > 4 * max(parts[0].num_rows, 1):
-            parts, size = [_summed(pa.concat_tables(parts))], 0
-            size = parts[0].num_rows
-    if parts:
-        for batch in _summed(pa.concat_tables(parts)).to_batches():
-            yield batch
+        vec = b.column("__vec")
+        for k, lang, source, digit in zip(range(b.num_rows), *(b.column(c).to_pylist() for c in ("__lang", "__source", "__digit"))):
+            # the model's vectors are sparse: struct of type, size, indices, values
+            idx = vec.field("indices")[k].values.to_numpy()
+            head = numbers.setdefault((lang, source), len(numbers)) << 32
+            keys.append(np.concatenate(([head], head + 1 + idx.astype(np.int64))))
+            counts.append(np.append(0, vec.field("values")[k].values.to_numpy().astype(np.int64) * digit))
+            size += len(keys[-1])
+            if size >= 2 * least + HELD:
+                key, count = _summed(np.concatenate(keys), np.concatenate(counts))
+                if len(key) >= SUMMED:
+                    yield from rows(key, count)
+                    numbers.clear()
+                    keys, counts, size, least = [], [], 0, 0
+                else:
+                    keys, counts, size, least = [key], [count], len(key), len(key)
+    if size:
+        yield from rows(*_summed(np.concatenate(keys), np.concatenate(counts)))
 
 
 def _block_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -125,18 +196,18 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS) -> D
         F.coalesce(F.col("text"), F.lit("")).alias("__text"),
         F.coalesce(F.col("lang"), F.lit("")).alias("__lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("__source"))
-    prefixed = docs.select("__lang", "__source", F.transform(terms(F.col("__text")), lambda w: F.concat(F.col("__lang"), F.lit(SEP), w)).alias("__terms"))
     spark = documents.sparkSession
     # document frequencies need each document's distinct terms only
-    model = _fit(prefixed.select(F.array_distinct("__terms").alias("__terms")), min_df)
+    model = _fit(docs.mapInArrow(_distinct, "__terms array<string>"), min_df)
     vocabulary = model.vocabulary if model else []
     vocab = spark.createDataFrame([(i, *w.rsplit(SEP, 1)) for i, w in enumerate(vocabulary)], "idx int, lang string, term string")
     kept = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("nv"))
     if model:
-        flat = model.transform(prefixed).select("__lang", "__source", "__vec").mapInArrow(
+        counted = docs.mapInArrow(_counted, "__lang string, __source string, __digit long, __terms array<string>")
+        flat = model.transform(counted).select("__lang", "__source", "__digit", "__vec").mapInArrow(
             _entries, "lang string, source string, idx int, c long")
     else:
-        flat = prefixed.select(F.col("__lang").alias("lang"), F.col("__source").alias("source"),
+        flat = docs.select(F.col("__lang").alias("lang"), F.col("__source").alias("source"),
                                F.lit(-1).alias("idx"), F.lit(0).cast("long").alias("c"))
     # The one pass over the documents: (lang, source, term) counts, at most groups x kept terms rows, stored once.
     summed = stage(flat.groupBy("lang", "source", "idx").agg(F.sum("c").alias("c")), "divergence-counts")

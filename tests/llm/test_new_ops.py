@@ -153,6 +153,24 @@ def test_audit_matches_brute_force(spark, audit_docs, min_df):
     assert got == brute_audit(rows, min_df)
 
 
+def test_terms_and_counts_by_digit():
+    import pyarrow as pa
+
+    odd = "".join(map(chr, range(0x180))) + "\u2028a\u00a0b\u0130\u0085c \U0001f600D"
+    low = str.maketrans(divergence.UPPER, divergence.LOWER)
+    assert [w.decode() for w in divergence.terms(odd.encode())] == re.findall(divergence.TERMS, odd.translate(low))
+    rows = [("b a A a, c", "de", "s"), ("a" + " a" * 8, "de", "s"), ("a", "en", "s"), ("", "en", "t")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows[k : k + 2])], ["__text", "__lang", "__source"]) for k in (0, 2)]
+    found, seen = Counter(), set()
+    for b in divergence._counted(batches):
+        for r in b.to_pylist():
+            assert len(set(r["__terms"])) == len(r["__terms"])  # the vectors hold ones, however often a word occurs
+            seen.add((r["__lang"], r["__source"]))
+            found.update({(r["__lang"], r["__source"], w): r["__digit"] for w in r["__terms"]})
+    assert found == {("de", "s", "de\0a"): 12, ("de", "s", "de\0b"): 1, ("de", "s", "de\0c"): 1, ("en", "s", "en\0a"): 1}
+    assert seen == {("de", "s"), ("en", "s"), ("en", "t")}
+
+
 def test_audit_edge_cases(spark):
     schema = "text string, lang string, source string"
     assert divergence.audit(spark.createDataFrame([], schema)).count() == 0
