@@ -276,6 +276,19 @@ def test_line_dedup_crowded_bands(spark, tile):
     assert want and sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_line_dedup_near_copies_have_an_edge_each(spark):
+    """Near copies are all linked to each other, yet components see about one edge a line and each link is met once."""
+    base = " ".join(f"word{k * 7919 % 1000:03d}" for k in range(60))
+    docs = spark.createDataFrame([(i, f"{base} copy{i:03d}") for i in range(100)], "doc_id long, text string")
+    links = linededup.linked(docs)
+    pairs = [tuple(r) for r in links.select(F.explode("near").alias("a"), "b").collect()]
+    assert len(pairs) == len(set(pairs)) == 100 * 99 // 2 and all(a < b for a, b in pairs)
+    assert linededup.stars(links).count() == 99
+    rows = linededup.decide(docs).collect()
+    assert {r.component for r in rows} == {min(a for a, _ in pairs)} and {r.n_links for r in rows} == {99}
+    assert [r.doc_id for r in rows if r.keep] == [0]
+
+
 @pytest.mark.parametrize("bucket", [simhash.BUCKET, 1])
 def test_simhash(docs, texts, bucket):
     rows = simhash.near_duplicates(docs, bucket=bucket).collect()
