@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 from itertools import repeat
 
 import numpy as np
@@ -44,6 +45,10 @@ def words(text: str) -> list[bytes]:
     return text.lower().encode("utf-8", "replace").translate(_WORD_BYTES).split()
 
 
+def _code(number: int) -> bytes:
+    return number.to_bytes(4, "little")
+
+
 @dataclass(frozen=True)
 class Item:
     item_id: int
@@ -58,16 +63,26 @@ class Block:
     vocabulary: dict[bytes, int]
     items: list[Item]
 
+    @cached_property
+    def _codes(self) -> dict[bytes, bytes]:
+        """The vocabulary with its numbers as four bytes: joined, they are an array."""
+        return {w: _code(n) for w, n in self.vocabulary.items()}
+
+    @cached_property
+    def _known(self) -> frozenset[bytes]:
+        return frozenset(self.vocabulary)
+
     def numbers(self, text: str) -> np.ndarray:
+        """Number of each word; the vocabulary's size for a word outside the benchmark."""
         return self._numbers(words(text))
 
     def distinct(self, text: str) -> np.ndarray:
-        """Like :meth:`numbers`, of the different words, in no order."""
-        return self._numbers(set(words(text)))
+        """Like :meth:`numbers`, of the different benchmark words, in no order."""
+        return self._numbers(self._known.intersection(words(text)))
 
     def _numbers(self, found: Collection[bytes]) -> np.ndarray:
-        size = len(self.vocabulary)  # not a benchmark word
-        return np.fromiter(map(self.vocabulary.get, found, repeat(size)), np.int64, len(found))
+        other = _code(len(self.vocabulary))
+        return np.frombuffer(b"".join(map(self._codes.get, found, repeat(other))), "<i4").astype(np.int64)
 
 
 def blocks(benchmark: DataFrame, limit: int = BLOCK_BYTES) -> Iterator[Block]:
@@ -263,10 +278,12 @@ class Checker:
 def passages(numbers: np.ndarray, table: np.ndarray, used: np.ndarray) -> np.ndarray:
     """Latent vectors of a text's passages; only words that are ``used`` have a row in ``table`` that is not zero."""
     z = np.zeros((len(chunks(numbers)), table.shape[1]), table.dtype)
-    places = np.flatnonzero(used[numbers])
+    places = used[numbers].nonzero()[0]
     if len(places):
         chunk = places // STEP
-        first = np.flatnonzero(np.diff(chunk, prepend=-1))
+        starts = np.ones(len(chunk), bool)
+        np.not_equal(chunk[1:], chunk[:-1], out=starts[1:])
+        first = starts.nonzero()[0]
         z[chunk[first]] = np.add.reduceat(table[numbers[places]], first)
     z[:-1] += z[1:].copy()  # a passage is a chunk and the next
     return z

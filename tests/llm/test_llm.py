@@ -276,6 +276,19 @@ def test_line_dedup_crowded_bands(spark, tile):
     assert want and sorted(tuple(r) for r in got) == sorted(want)
 
 
+def test_benchmark_word_numbers():
+    """All words keep their place, others the vocabulary's size; the different ones are benchmark words alone."""
+    block = decontaminate.Block({b"one": 0, "zwölf".encode(): 1, b"x": 2}, [])
+    assert block.numbers("One two, ZWÖLF x x").tolist() == [0, 3, 1, 2, 2] and block.numbers("").tolist() == []
+    assert sorted(block.distinct("x two X zwölf two").tolist()) == [1, 2] and block.distinct("two").tolist() == []
+    used = np.array([True, False, True, False])
+    table = np.array([[1.0], [0.0], [2.0], [0.0]], np.float32)
+    numbers = np.array([0] * decontaminate.STEP + [3] * decontaminate.STEP + [1, 2, 0])
+    step = decontaminate.STEP
+    assert decontaminate.passages(numbers, table, used).ravel().tolist() == [step, 3, 3]
+    assert decontaminate.passages(numbers[-3:-2], table, used).ravel().tolist() == [0]
+
+
 def test_line_dedup_near_copies_have_an_edge_each(spark):
     """Near copies are all linked to each other, yet components see about one edge a line and each link is met once."""
     base = " ".join(f"word{k * 7919 % 1000:03d}" for k in range(60))
