@@ -3,7 +3,9 @@
 Vocabularies: one CountVectorizer (minDF a count, vocabSize the largest integer) over terms
 prefixed by their language, so each language keeps exactly its terms found in at least
 ``min_df`` of its own documents (a term of two languages is two entries). Its model gives
-exact sparse count vectors. Texts are cut into terms in Arrow batches, as bytes. Counts add up, so a
+exact sparse count vectors. Texts are dealt by ranges of (lang, source, hash of the row) and cut into terms
+in Arrow batches, as bytes. The estimator asks only whether ``min_df`` documents hold a term, so a task hands it
+row k of the terms that k or more of its documents hold, for k up to ``min_df``. Counts add up, so a
 task first counts the terms of each group's documents and hands the model one row per group and
 binary digit of the counts, holding the terms with that digit set. Group sums, as a Summarizer would
 take them but sparse: the (index, count) entries of every vector, times the row's digit, are summed per
@@ -69,22 +71,34 @@ def _lists(flat: pa.Array, sizes: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), flat)
 
 
-def _distinct(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``__terms``: each document's different terms."""
-    flat, sizes = [], []
+def _frequent(batches: Iterable[pa.RecordBatch], min_df: int) -> Iterator[pa.RecordBatch]:
+    """``__terms``: rows of different terms that say of each term whether ``min_df`` documents hold it.
 
-    def rows() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([_lists(pa.array(flat, pa.string()), sizes)], ["__terms"])
+    Of the documents a task counts together, row k holds the terms that k or more of them hold, k up to
+    ``min_df``. So a term is in min(n, ``min_df``) rows for its n documents there, and in ``min_df`` rows
+    or more of all exactly if it is in that many documents."""
+    langs: dict[str, Counter] = {}
+    held = 0
+
+    def rows() -> Iterator[pa.RecordBatch]:
+        for lang, counts in langs.items():
+            count = np.fromiter(counts.values(), np.int64, len(counts))
+            order = np.argsort(-count, kind="stable")
+            flat = pa.array(_prefixed(lang, counts), pa.string()).take(pa.array(order))
+            most = min(int(count.max(initial=0)), max(min_df, 1))
+            sizes = np.searchsorted(-count[order], -np.arange(1, most + 1), "right")  # terms in k or more
+            for n in sizes.tolist():
+                yield pa.RecordBatch.from_arrays([_lists(flat.slice(0, n), [n])], ["__terms"])
 
     for lang, _, found in _rows(batches):
-        different = set(found)
-        flat += _prefixed(lang, different)
-        sizes.append(len(different))
-        if len(flat) + len(sizes) >= HELD:
-            yield rows()
-            flat, sizes = [], []
-    if sizes:
-        yield rows()
+        counts = langs.setdefault(lang, Counter())
+        held -= len(counts)
+        counts.update(set(found))
+        held += len(counts)
+        if held + len(langs) >= HELD:
+            yield from rows()
+            langs, held = {}, 0
+    yield from rows()
 
 
 def _counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,12 +207,16 @@ def audit(documents: DataFrame, min_df: int = MIN_DF, top: int = TOP_TERMS) -> D
     as often as they occur. Ties rank by the item's UTF-8 bytes. Other input columns are not carried.
     """
     docs = documents.select(
+        F.xxhash64(*[c for c in ("doc_id", "text") if c in documents.columns]).alias("__own"),
         F.coalesce(F.col("text"), F.lit("")).alias("__text"),
         F.coalesce(F.col("lang"), F.lit("")).alias("__lang"),
         F.coalesce(F.col("source"), F.lit("")).alias("__source"))
     spark = documents.sparkSession
-    # document frequencies need each document's distinct terms only
-    model = _fit(docs.mapInArrow(_distinct, "__terms array<string>"), min_df)
+    # a group's documents in few tasks, by ranges that split a large one, stored once: each task holds few
+    # groups' terms and counts most of their documents together
+    docs = stage(docs.repartitionByRange("__lang", "__source", "__own").drop("__own"), "divergence-documents")
+    # document frequencies need each document's distinct terms only, and matter up to min_df only
+    model = _fit(docs.mapInArrow(lambda batches: _frequent(batches, min_df), "__terms array<string>"), min_df)
     vocabulary = model.vocabulary if model else []
     vocab = spark.createDataFrame([(i, *w.rsplit(SEP, 1)) for i, w in enumerate(vocabulary)], "idx int, lang string, term string")
     kept = vocab.groupBy("lang").agg(F.count(F.lit(1)).alias("nv"))

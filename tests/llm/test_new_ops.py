@@ -171,6 +171,18 @@ def test_terms_and_counts_by_digit():
     assert seen == {("de", "s"), ("en", "s"), ("en", "t")}
 
 
+def test_audit_hands_on_terms_up_to_min_df():
+    """Terms of many documents go to the estimator ``min_df`` times at most, rarer ones once a document that holds them."""
+    import pyarrow as pa
+
+    rows = [("same b b" if k < 3 else "same", "de", "s") for k in range(50)] + [("same", "en", "t"), ("", "fr", "t")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(list(c)) for c in zip(*rows[k : k + 20])], ["__text", "__lang", "__source"]) for k in (0, 20, 40)]
+    for min_df, want in ((1, {"de\0same": 1, "de\0b": 1, "en\0same": 1}), (5, {"de\0same": 5, "de\0b": 3, "en\0same": 1})):
+        handed = [r["__terms"] for b in divergence._frequent(batches, min_df) for r in b.to_pylist()]
+        assert all(len(set(r)) == len(r) for r in handed)
+        assert Counter(w for r in handed for w in r) == want
+
+
 def test_audit_edge_cases(spark):
     schema = "text string, lang string, source string"
     assert divergence.audit(spark.createDataFrame([], schema)).count() == 0
