@@ -10,12 +10,17 @@ latent space (cosine) is a candidate. It is checked by the longest common subseq
 words: enough of the item in the item's order within a stretch little longer than it, and,
 where an item has an answer, the answer's words among them.
 
+An item that many documents hold makes its own words common. Items that could be found by
+words that count for nothing alone are also compared with every passage over the words
+themselves, and there enough of their words count (:func:`weights`).
+
 The benchmark is the stated query set. It is handled in blocks whose bytes are bounded and
 broadcast; each block scans the documents.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -141,6 +146,26 @@ def idf(n: np.ndarray, rows: int, common: float = COMMON) -> np.ndarray:
     return np.append(weight, 0.0)
 
 
+def short_items(block: Block, weight: np.ndarray, overlap: float = OVERLAP) -> list[int]:
+    """Which items' places without weight could make up ``overlap`` of them."""
+    without = [np.count_nonzero(weight[list(item.words)] == 0) for item in block.items]
+    return [i for i, item in enumerate(block.items) if without[i] and without[i] >= overlap * len(item.words) - 1e-9]
+
+
+def weights(block: Block, n: np.ndarray, rows: int, common: float = COMMON, overlap: float = OVERLAP) -> np.ndarray:
+    """:func:`idf`, but the rarest words of an item keep weight until no ``overlap`` of it is without:
+    as much as a word has that is just not too common."""
+    weight = idf(n, rows, common)
+    least = np.log((1 + rows) / (1 + min(max(common * rows, 2.0), rows))) + 1
+    for i in short_items(block, weight, overlap):
+        places = np.array(block.items[i].words)
+        without = places[weight[places] == 0]
+        over = len(without) - math.ceil(overlap * len(places) - 1e-9) + 1
+        if over > 0:
+            weight[without[np.argsort(n[without], kind="stable")][:over]] = least
+    return weight
+
+
 def chunks(numbers: np.ndarray) -> np.ndarray:
     """Start of every ``STEP`` words."""
     return np.arange(0, len(numbers), STEP)
@@ -289,14 +314,41 @@ def passages(numbers: np.ndarray, table: np.ndarray, used: np.ndarray) -> np.nda
     return z
 
 
-def matches(numbers: np.ndarray, block: Block, checkers: dict[int, Checker], table: np.ndarray, used: np.ndarray, latent_items: np.ndarray, cosine: float, overlap: float) -> list[tuple[int, int, float, float]]:
+@dataclass(frozen=True)
+class Short:
+    """Items compared with passages over the words themselves: a column each, and one for the length."""
+
+    items: list[int]
+    table: np.ndarray
+    used: np.ndarray
+
+    def near(self, numbers: np.ndarray) -> np.ndarray:
+        """Cosine of every passage and item, or a little more where a passage repeats a word."""
+        z = passages(numbers, self.table, self.used)
+        return z[:, :-1] / np.sqrt(np.where(z[:, -1:] > 1e-9, z[:, -1:], 1))
+
+
+def short(block: Block, weight: np.ndarray, items: list[int]) -> Short:
+    """``weight`` is from :func:`weights`."""
+    rows = item_rows(Block(block.vocabulary, [block.items[i] for i in items]), weight)
+    table = np.vstack((rows * weight[:-1], weight[:-1] ** 2)).T
+    table = np.vstack((table, np.zeros(table.shape[1]))).astype(np.float32, order="C")  # rows are gathered
+    return Short(items, table, weight > 0)
+
+
+def matches(numbers: np.ndarray, block: Block, checkers: dict[int, Checker], table: np.ndarray, used: np.ndarray, latent_items: np.ndarray, cosine: float, overlap: float, few: Short | None = None) -> list[tuple[int, int, float, float]]:
     """``item_id, first word of the passage, cosine, share`` of the items found in a text."""
     at = chunks(numbers)
     z = passages(numbers, table, used)
     norm = np.sqrt((z * z).sum(1))
     near = (z / np.where(norm > 1e-9, norm, 1)[:, None]) @ latent_items.T
+    found = [(p, i, near[p, i]) for p, i in zip(*(x.tolist() for x in np.nonzero(near >= cosine)))]
+    if few is not None:
+        other = few.near(numbers)
+        other[near[:, few.items] >= cosine] = 0  # they are there already
+        found += [(p, few.items[k], other[p, k]) for p, k in zip(*(x.tolist() for x in np.nonzero(other >= cosine)))]
     best: dict[int, tuple[int, int, float, float]] = {}
-    for p, i in zip(*(x.tolist() for x in np.nonzero(near >= cosine))):
+    for p, i, c in found:
         item, known = block.items[i], best.get(i)
         if known and known[3] == 1.0:
             continue
@@ -306,7 +358,7 @@ def matches(numbers: np.ndarray, block: Block, checkers: dict[int, Checker], tab
             checkers[i] = Checker(item, len(block.vocabulary))
         share = checkers[i].best(numbers, int(at[p]), overlap)
         if share >= overlap and (known is None or share > known[3]):
-            best[i] = (item.item_id, int(at[p]), float(near[p, i]), share)
+            best[i] = (item.item_id, int(at[p]), min(float(c), 1.0), share)
     return list(best.values())
 
 
@@ -328,7 +380,9 @@ def find(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, overlap:
         items = item_rows(block, weight) @ basis
         items /= np.maximum(np.linalg.norm(items, axis=1, keepdims=True), 1e-9)
         table = np.vstack((weight[:-1, None] * basis, np.zeros(basis.shape[1]))).astype(np.float32)
-        shared = docs.sparkSession.sparkContext.broadcast((block, table, weight > 0, items.astype(np.float32)))
+        at = short_items(block, weight, overlap)
+        few = short(block, weights(block, n, total, overlap=overlap), at) if at else None
+        shared = docs.sparkSession.sparkContext.broadcast((block, table, weight > 0, items.astype(np.float32), few))
         parts.append(rows.mapInArrow(_search(shared, cosine, overlap), schema))
     out = parts[0] if parts else docs.sparkSession.createDataFrame([], schema)
     for part in parts[1:]:
@@ -338,14 +392,14 @@ def find(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, overlap:
 
 def _search(shared, cosine: float, overlap: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, table, used, items = shared.value
+        block, table, used, items, few = shared.value
         checkers: dict[int, Checker] = {}
         for batch in batches:
             found = []
             for i, text in _texts(batch):
                 numbers = block.numbers(text)
                 if len(numbers):
-                    found += [(i, *m) for m in matches(numbers, block, checkers, table, used, items, cosine, overlap)]
+                    found += [(i, *m) for m in matches(numbers, block, checkers, table, used, items, cosine, overlap, few)]
             of, item, word, near, share = zip(*found) if found else [()] * 5
             ids = batch.column("doc_id").take(pa.array(of, pa.int64()))
             values = [ids, pa.array(item, pa.int64()), pa.array(word, pa.int64()), pa.array(near, pa.float64()), pa.array(share, pa.float64())]

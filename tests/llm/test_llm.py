@@ -83,6 +83,29 @@ def test_answers_count(spark):
     assert got == {(1, 1), (1, 2), (2, 2)}
 
 
+@pytest.mark.parametrize("holders", [20, 200])
+def test_items_in_many_documents_are_found(spark, holders):
+    """An item copied into a tenth or all of the documents makes its words common and is found nevertheless."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(900)]
+    items = [" ".join(rng.sample(words[:60], 20))] + [" ".join(rng.sample(words[60:], 20)) for _ in range(30)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    prose = [" ".join(rng.choices(words[60:], k=60)) for _ in range(400)]
+    rows = [(i, f"{prose[2 * i]} {items[0] if i < holders else ''} {prose[2 * i + 1]}") for i in range(200)]
+    rows = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id for r in decontaminate.find(rows, bench).where("item_id = 0").collect()}
+    assert got == set(range(holders))
+
+
+def test_no_overlap_of_an_item_is_without_weight():
+    items = [decontaminate.Item(1, (0, 1, 2, 3, 4), frozenset()), decontaminate.Item(2, (5, 6, 7, 8, 9), frozenset())]
+    block = decontaminate.Block({b"%d" % k: k for k in range(10)}, items)
+    n = np.array([90, 80, 70, 60, 50, 1, 2, 3, 90, 90])
+    weight = decontaminate.weights(block, n, 100)
+    assert (weight > 0).tolist() == [False, False, True, True, True, True, True, True, False, False, False]
+    assert np.array_equal(weight[5:], decontaminate.idf(n, 100)[5:])
+
+
 def test_passages_read_used_words_only():
     rng = np.random.default_rng(3)
     used = rng.random(41) < 0.2
