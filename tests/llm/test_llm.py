@@ -280,6 +280,25 @@ def test_line_dedup(docs):
     assert out.columns == docs.columns and out.count() == docs.count()
 
 
+@pytest.mark.parametrize("band", [linededup.BAND, 2])
+def test_line_dedup_short_lines_and_few_words(spark, band):
+    """Similar lines meet that are shorter than a long shingle, have no blank, or repeat themselves."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    own = ["abcdefghijklmn", "abcdefghijklmno", "=" * 9, "=" * 12, "=" * 50, "-+" * 30, "+-" * 30, "abcd", "abce"]
+    for n in (9, 14, 18, 24, 31, 33, 45, 80, 120):
+        for k in range(4):
+            w = word(n)
+            own += [w, word(1) + w[1:], w[:-1] + word(1), w + word(1), word(1) + w]
+            w = " ".join(word(6) for _ in range(n // 7 + 1))
+            own += [w, word(1) + w[1:], w[:-1] + word(1)]
+    docs = spark.createDataFrame([(i, line) for i, line in enumerate(own)], "doc_id long, text string")
+    rows = [(r.hash, r.line) for r in linededup.lines(docs).select("hash", "line").distinct().collect()]
+    sets = [(h, {line[i : i + 5] for i in range(len(line) - 4)} or {line}) for h, line in rows]
+    want = {(min(a, b), max(a, b)) for k, (a, s) in enumerate(sets) for b, t in sets[:k] if len(s & t) >= 0.8 * len(s | t)}
+    assert {(r.a, r.b) for r in linededup.similar_lines(docs, band=band).collect()} == want
+
+
 @pytest.mark.parametrize("tile", [linededup.TILE, 7])
 def test_line_dedup_crowded_bands(spark, tile):
     """All pairs of a crowded band are compared: templates share bands, and only some of their lines are similar."""
